@@ -107,7 +107,8 @@ def apply_edits(catalog: DataFrame, edits: DataFrame) -> DataFrame:
     e = F.col("__e")
     dropped = F.array_except(sets.as_set(F.col("tags")), e["drop_tags"])
     tagged = F.array_sort(F.array_union(dropped, e["add_tags"]))
-    untouched = F.col("tags").isNull() & (e["only_if_tagged"] | (F.size(e["add_tags"]) == 0))
+    adds, drops = F.size(e["add_tags"]) > 0, F.size(e["drop_tags"]) > 0
+    untouched = F.when(F.col("tags").isNull(), e["only_if_tagged"] | ~adds).otherwise(~adds & ~drops)
     new = {
         "tbl_name": F.coalesce(e["new_name"], F.col("tbl_name")),
         "tags": F.when(e.isNull() | untouched, F.col("tags")).otherwise(tagged),
@@ -139,7 +140,7 @@ def add_tags(catalog: DataFrame, changes: DataFrame, mode: str = "append") -> Da
     replace drops what was there. Unknown tables and (but for replace) empty
     sets change nothing.
     """
-    wanted = changes.select(*KEY, sets.as_set(F.transform("tags", F.trim)).alias("__new"))
+    wanted = changes.select(*KEY, sets.as_set(F.transform("tags", lambda t: F.trim(t))).alias("__new"))
     old, new = F.col("tags"), F.col("__new")
     joined = F.array_sort(F.array_union(sets.as_set(old), new))
     if mode == "append":

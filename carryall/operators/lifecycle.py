@@ -204,17 +204,25 @@ def journeys(spark: SparkSession, flow: str) -> DataFrame:
     )
 
 
-def advance_jobs(jobs: DataFrame, flow: str = v.FORWARD) -> DataFrame:
+def advance_jobs(
+    jobs: DataFrame, flow: str = v.FORWARD, only: Column | None = None
+) -> DataFrame:
     """Jobs walked to rest, with the ordered ``actions`` this takes.
 
     A job whose ``is_source`` column (optional) is false has its copy refused:
-    it is paused and reset. The walk of each start pair is a row of a small fixed
-    table, so any number of jobs takes one broadcast join and no loop.
+    it is paused and reset. Jobs that fail the condition ``only`` stay where they
+    are. The walk of each start pair is a row of a small fixed table, so any
+    number of jobs takes one broadcast join and no loop.
     """
     walk = journeys(jobs.sparkSession, flow)
     blocked = ~F.col("is_source") if "is_source" in jobs.columns else F.lit(False)
-    rows = jobs.withColumn("blocked", F.coalesce(blocked, F.lit(True))).join(
-        F.broadcast(walk), ["state", "desired_state", "blocked"], "left"
+    go = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    rows = jobs.withColumns(
+        {"blocked": F.coalesce(blocked, F.lit(True)), "go": go}
+    ).join(
+        F.broadcast(walk.withColumn("go", F.lit(True))),
+        ["state", "desired_state", "blocked", "go"],
+        "left",
     )
     refused = F.coalesce("refused", F.lit(False))
     new = {

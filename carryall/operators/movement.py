@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from carryall import vocabulary as v
@@ -374,14 +376,28 @@ def mirror_updates(
     rewritten = wanted.count()
     if rewritten:
         fresh = _only_partitions(here, wanted, parts, rewritten).select(*there.columns)
-        spread(fresh, parts).write.option("partitionOverwriteMode", "dynamic").insertInto(
-            dst, overwrite=True
-        )
+        with _overwriting_touched_only(spark):
+            spread(fresh, parts).write.insertInto(dst, overwrite=True)
     dropped = _drop_partitions(spark, dst, gone, parts)
     spark.catalog.refreshTable(dst)
     return _log_row(spark, name, pinned, mirrored_at, rewritten, dropped)
 
 
+@contextlib.contextmanager
+def _overwriting_touched_only(spark: SparkSession):
+    """An overwrite replaces the partitions it has rows for and leaves the others.
+
+    Writes into catalogue tables take this from the session only.
+    """
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _mirror_whole(spark, src, dst, name, pinned, mirrored_at, compare: bool) -> DataFrame:
     """Unpartitioned tables are one partition: overwritten when anything differs."""
     here, there = spark.table(src), spark.table(dst)
