@@ -21,22 +21,33 @@ def shard_of(value: Column, shards: int) -> Column:
     return (rest + 1).cast("int")
 
 
-def number_rows(df: DataFrame, within: list[str], by: list[str], out: str, hex_digits: int = 3) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    within: list[str],
+    by: list[str],
+    out: str,
+    total: str | None = None,
+    hex_digits: int = 3,
+) -> DataFrame:
     """Consecutive numbers 1..n in every ``within`` group, with no task holding a group.
 
     Rows fall into 16**hex_digits buckets by the md5 of ``by``; a row's number is
     the count of rows in lower buckets plus its rank inside its own bucket. A
     group's rows are thus sorted by many tasks even when it is the whole input,
     and only the bucket counts (at most 16**hex_digits per group) are summed up
-    in one place. ``by`` must be unique and not null inside a group.
+    in one place. ``by`` must be unique and not null inside a group. ``total``
+    names a further column for n.
     """
     text = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])
     bucketed = df.withColumn("__bucket", F.substring(F.md5(text.cast("binary")), 1, hex_digits))
     counts = bucketed.groupBy(*within, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(1))
-    before = before.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(1))
+    before = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *within, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
+        *within,
+        "__bucket",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        *([F.sum("__n").over(group).alias(total)] if total else []),
     )
     inside = Window.partitionBy(*within, "__bucket").orderBy(*by)
     ranked = bucketed.withColumn("__rank", F.row_number().over(inside))

@@ -29,9 +29,11 @@ def table_family(catalog: DataFrame, suffixes: dict[str, str], *facts: Column) -
     ``suffixes`` maps a column label to a table-name suffix ("" is the table
     itself); a relative the catalogue lacks is null. Every catalogue row is read
     once and counts both as a table of its own and as a relative of its base.
+    Without ``facts`` the columns are plain flags.
     """
     tbl = F.col("tbl_name")
-    rows = catalog.select(*KEY, F.struct(F.lit(True).alias("present"), *facts).alias("__facts"))
+    found = F.struct(*facts) if facts else F.lit(True)
+    rows = catalog.select(*KEY, found.alias("__facts"))
     roles = []
     for label, suffix in suffixes.items():
         stem = F.expr(f"substring(tbl_name, 1, length(tbl_name) - {len(suffix)})")
@@ -48,11 +50,9 @@ def table_family(catalog: DataFrame, suffixes: dict[str, str], *facts: Column) -
             "__facts",
         )
     )
+    one = F.max if not facts else (lambda col: F.any_value(col, True))
     return by_role.groupBy(*KEY).agg(
-        *[
-            F.any_value(F.when(F.col("__role") == label, F.col("__facts")), True).alias(label)
-            for label in suffixes
-        ]
+        *[one(F.when(F.col("__role") == label, F.col("__facts"))).alias(label) for label in suffixes]
     )
 
 

@@ -87,6 +87,18 @@ def find_empty_tables(
     return joined.select(*[jobs[c] for c in jobs.columns], empty.alias("is_empty"))
 
 
+def mark_empty(jobs: DataFrame, empty: DataFrame | None) -> DataFrame:
+    """Jobs with is_empty, by the keys of empty tables unless the column is there."""
+    if "is_empty" in jobs.columns:
+        return jobs
+    if empty is None:
+        raise ValueError("give the keys of empty tables or jobs with is_empty")
+    found = empty.select(*KEY).distinct().withColumn("is_empty", F.lit(True))
+    return jobs.join(found, KEY, "left").withColumn(
+        "is_empty", F.coalesce("is_empty", F.lit(False))
+    )
+
+
 def unknown_size_tables(
     jobs: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAULT
 ) -> DataFrame:

@@ -8,7 +8,13 @@ from carryall import vocabulary as v
 from carryall.functions import sets
 from carryall.functions.names import qualified
 from carryall.operators.catalog import table_family
-from carryall.operators.enrich import data_category, source_format, storage_format, timestamp_columns
+from carryall.operators.enrich import (
+    data_category,
+    mark_empty,
+    source_format,
+    storage_format,
+    timestamp_columns,
+)
 from carryall.schemas import KEY
 
 # Fixed value: the action recorded when a copy finds the table already moved.
@@ -87,13 +93,14 @@ def preprocess_step(
 def migrate_gate(
     jobs: DataFrame,
     catalog: DataFrame,
-    empty: DataFrame,
+    empty: DataFrame | None = None,
     names: v.Naming = v.DEFAULT,
     allow_text: bool = False,
 ) -> DataFrame:
     """Next version of jobs about to be migrated, with gate = go / hold.
 
-    ``empty`` holds the keys of empty source tables. A job goes on unless it was
+    ``empty`` holds the keys of empty source tables, unless the jobs have an
+    ``is_empty`` column. A job goes on unless it was
     paused here; ``allow_text`` lets tables in other formats through to a rewrite.
     """
     family = table_family(
@@ -101,13 +108,12 @@ def migrate_gate(
         {"__base": "", "__kept": names.source_suffix},
         source_format(names).alias("src"),
     )
-    hollow = empty.select(*KEY).distinct().withColumn("__empty", F.lit(True))
-    rows = jobs.join(family, KEY, "left").join(hollow, KEY, "left")
+    rows = mark_empty(jobs, empty).join(family, KEY, "left")
     missing = F.col("__base").isNull() & F.col("__kept").isNull()
     source = F.coalesce(F.col("__base.src"), F.lit(False))
     copyable = (
         F.coalesce(F.col("stg_format") == v.PARQUET, F.lit(False))
-        | F.coalesce("__empty", F.lit(False))
+        | F.col("is_empty")
         | F.lit(allow_text)
     )
     starting = ~missing & (F.col("to_be_processed") == 1)
@@ -132,7 +138,10 @@ def migrate_gate(
 
 
 def copy_strategy(
-    jobs: DataFrame, catalog: DataFrame, empty: DataFrame, names: v.Naming = v.DEFAULT
+    jobs: DataFrame,
+    catalog: DataFrame,
+    empty: DataFrame | None = None,
+    names: v.Naming = v.DEFAULT,
 ) -> DataFrame:
     """Adds strategy SNAPSHOT or REWRITE; a rewrite marks the job as csv/text.
 
@@ -140,15 +149,14 @@ def copy_strategy(
     in an ordinary database, or when it is empty.
     """
     facts = catalog.select(*KEY, timestamp_columns(F.col("fields")).alias("__ts"))
-    hollow = empty.select(*KEY).distinct().withColumn("__empty", F.lit(True))
-    rows = jobs.join(facts, KEY, "left").join(hollow, KEY, "left")
+    rows = mark_empty(jobs, empty).join(facts, KEY, "left")
     special = F.lit(False)
     for prefix in names.rewrite_db_prefixes:
         special = special | F.startswith(F.col("db_name"), F.lit(prefix))
     plain = (
         (F.col("stg_format") == v.PARQUET) & ~special & ~F.coalesce("__ts", F.lit(False))
     )
-    snapshot = F.coalesce(plain, F.lit(False)) | F.coalesce("__empty", F.lit(False))
+    snapshot = F.coalesce(plain, F.lit(False)) | F.col("is_empty")
     kept = [c for c in jobs.columns if c != "stg_format"]
     return rows.select(
         *kept,

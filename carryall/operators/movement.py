@@ -12,6 +12,7 @@ from carryall.functions.names import qualified
 from carryall.functions.times import moment
 from carryall.operators.selectors import select_mirror
 from carryall.sources.tables import (
+    dotted,
     fresh_path,
     partition_columns,
     partition_map,
@@ -134,6 +135,23 @@ def watermarks(mirror_log: DataFrame) -> DataFrame:
     )
 
 
+def set_watermarks(tables: DataFrame, ledger: DataFrame, as_of) -> DataFrame:
+    """Mirror-log rows that declare tables in sync as they are, as after a promote."""
+    named = tables.select("table_name").distinct()
+    return latest_snapshot(ledger.join(named, "table_name", "left_semi")).select(
+        "table_name", "snapshot_id", moment(as_of).alias("mirrored_at")
+    )
+
+
+def watermark_properties(spark: SparkSession, tables: list[str]) -> DataFrame:
+    """Watermarks kept as table properties, to be taken over: (table_name, watermark)."""
+    rows = []
+    for table in tables:
+        value = get_property(spark, table, WATERMARK)
+        rows.append((table, None if value is None else int(value)))
+    return spark.createDataFrame(rows, "table_name string, watermark bigint")
+
+
 def in_sync(tables: DataFrame, ledger: DataFrame, marks: DataFrame) -> DataFrame:
     """Adds snapshot_id, watermark and in_sync to tables(table_name, …).
 
@@ -487,7 +505,7 @@ def mirror_sweep(
     """
     selected = select_mirror(jobs).withColumn("table_name", qualified("/"))
     todo = in_sync(selected, ledger, watermarks(mirror_log)).filter(~F.col("in_sync"))
-    spell = sql_name or (lambda catalog, db, table: f"{catalog}.{db}.{table}")
+    spell = sql_name or dotted
     logs, states = [], []
     for job in todo.select(
         "task_id", "catalog_name", "db_name", "tbl_name", "table_name", "watermark"

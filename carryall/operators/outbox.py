@@ -9,7 +9,7 @@ from carryall.functions import sets
 from carryall.functions.names import qualified
 from carryall.functions.shards import number_rows
 from carryall.functions.times import days, moment
-from carryall.operators.enrich import owner_tables, source_format
+from carryall.operators.enrich import mark_empty, owner_tables, source_format
 from carryall.schemas import KEY
 
 # Fixed value: pattern of the long date in mails.
@@ -80,7 +80,7 @@ def recipient_batches_of_pairs(
 def notify_gate(
     jobs: DataFrame,
     catalog: DataFrame,
-    empty: DataFrame,
+    empty: DataFrame | None,
     as_of,
     names: v.Naming = v.DEFAULT,
 ) -> DataFrame:
@@ -91,8 +91,7 @@ def notify_gate(
     """
     now = moment(as_of)
     facts = catalog.select(*KEY, source_format(names).alias("__src"))
-    hollow = empty.select(*KEY).distinct().withColumn("__empty", F.lit(True))
-    rows = jobs.join(facts, KEY, "left").join(hollow, KEY, "left")
+    rows = mark_empty(jobs, empty).join(facts, KEY, "left")
 
     def rest(state):
         return (F.col("state") == state) & (F.col("desired_state") == state)
@@ -118,9 +117,7 @@ def notify_gate(
     )
     missing = first & F.col("__src").isNull()
     moved = first & ~F.col("__src")
-    copyable = F.coalesce(F.col("stg_format") == v.PARQUET, F.lit(False)) | F.coalesce(
-        "__empty", F.lit(False)
-    )
+    copyable = F.coalesce(F.col("stg_format") == v.PARQUET, F.lit(False)) | F.col("is_empty")
     text = first & F.col("__src") & ~copyable
     announce = first & F.col("__src") & copyable
     pause = missing | F.coalesce(moved, F.lit(False)) | F.coalesce(text, F.lit(False))
@@ -227,7 +224,6 @@ def _done_notice() -> tuple[Column, Column]:
 
 
 def owner_digest(
-    run_jobs: DataFrame,
     gated: DataFrame,
     as_of,
     names: v.Naming = v.DEFAULT,
@@ -235,10 +231,10 @@ def owner_digest(
 ) -> DataFrame:
     """First notice to owners: (owner, part, parts, task_id, tables, subject, body).
 
-    An owner of at least one job announced with a mail is told all of their
-    tables in the run. The day comes from their announced job with the lowest
-    task id. A list beyond ``tables_per_mail`` goes on in further parts, so that
-    no owner's list is ever brought together whole.
+    ``gated`` holds all jobs of the run. An owner of at least one job announced
+    with a mail is told all of their tables in the run. The day comes from their
+    announced job with the lowest task id. A list beyond ``tables_per_mail`` goes
+    on in further parts, so that no owner's list is ever brought together whole.
     """
     announced = recipients(gated.filter((F.col("due_level") == 1) & F.col("send_mail")), names)
     triggers = (
@@ -248,15 +244,16 @@ def owner_digest(
         .groupBy("owner")
         .agg(F.min(F.struct("task_id", "gap")).alias("first"))
     )
-    pairs = owner_tables(run_jobs).join(triggers.select("owner"), "owner", "left_semi")
-    numbered = number_rows(pairs, ["owner"], ["table"], "__n")
-    pages = (
-        numbered.withColumn("part", F.ceil(F.col("__n") / F.lit(tables_per_mail)).cast("int"))
-        .groupBy("owner", "part")
+    pairs = owner_tables(gated).join(triggers, "owner")
+    numbered = number_rows(pairs, ["owner"], ["table"], "__n", total="__tables")
+
+    def page(n):
+        return F.ceil(F.col(n) / F.lit(tables_per_mail)).cast("int")
+
+    rows = (
+        numbered.groupBy("owner", page("__n").alias("part"), page("__tables").alias("parts"), "first")
         .agg(F.array_sort(F.collect_list("table")).alias("tables"))
     )
-    totals = pages.groupBy("owner").agg(F.max("part").alias("parts"))
-    rows = pages.join(totals, "owner").join(triggers, "owner")
     when = long_date(as_of, F.col("first.gap"))
     items = F.array_join(F.transform("tables", lambda t: F.concat(F.lit("* "), t, F.lit(". "))), "\n")
     subject = F.concat(
@@ -291,7 +288,6 @@ def owner_digest(
 
 
 def render_outbox(
-    run_jobs: DataFrame,
     gated: DataFrame,
     as_of,
     names: v.Naming = v.DEFAULT,
@@ -322,7 +318,7 @@ def render_outbox(
     if surplus_readers is not None:
         extra = _surplus_mails(due, rows, surplus_readers, names).select(*columns)
         mails = mails.unionByName(extra)
-    digest = owner_digest(run_jobs, gated, as_of, names, tables_per_mail).select(
+    digest = owner_digest(gated, as_of, names, tables_per_mail).select(
         F.lit(1).alias("level"),
         F.lit("owner").alias("audience"),
         "task_id",

@@ -92,7 +92,7 @@ def select_mirror(jobs: DataFrame) -> DataFrame:
 
 
 def select_revert(
-    jobs: DataFrame, requested: DataFrame, kinds: DataFrame, require_probation: bool = False
+    kinds: DataFrame, requested: DataFrame, require_probation: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(jobs to revert, rejected requests with a reason).
 
@@ -103,9 +103,8 @@ def select_revert(
     at rest in probation.
     """
     wanted = requested.select(*KEY).distinct()
-    counts = (
-        jobs.join(wanted, KEY, "left_semi").groupBy(*KEY).agg(F.count(F.lit(1)).alias("matches"))
-    )
+    matched = kinds.join(wanted, KEY, "left_semi")
+    counts = matched.groupBy(*KEY).agg(F.count(F.lit(1)).alias("matches"))
     counted = wanted.join(counts, KEY, "left").select(
         *KEY, F.coalesce("matches", F.lit(0).cast("bigint")).alias("matches")
     )
@@ -114,13 +113,14 @@ def select_revert(
         "matches",
         F.when(F.col("matches") == 0, "unknown table").otherwise("ambiguous table").alias("reason"),
     )
-    moved = kinds.filter(F.col("exists") & ~F.col("is_source"))
+    moved = matched.filter(F.col("exists") & ~F.col("is_source"))
     if require_probation:
         moved = moved.filter(
             _at_rest(v.OPEN) & _flag("in_process", 1) & (F.col("probation_gap_days") > 0)
         )
-    single = counted.filter("matches = 1").select(*KEY)
-    picked = moved.join(single, KEY, "left_semi").select(*jobs.columns)
+    single = counts.filter("matches = 1").select(*KEY)
+    extra = ("exists", "is_source")
+    picked = moved.join(single, KEY, "left_semi").drop(*extra)
     return picked, rejects
 
 

@@ -20,6 +20,7 @@ from carryall.plans.enrich_queries import (
 )
 from carryall.plans.fixtures import AS_OF, DAY_KEY, fixture, jobs
 from carryall.plans.registry import EMPTY_TABLES, IS_SOURCE, NAME, flat, query, sql_set, sql_text
+from carryall.plans.runs import migrate_plan
 from carryall.schemas import KEY
 
 _KEY_SQL = ", ".join(KEY)
@@ -209,7 +210,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     kinds = enrich.classify_kind(jobs(spark, sf), fixture(spark, sf, "catalog"))
-    picked, _ = selectors.select_revert(jobs(spark, sf), jobs(spark, sf).select(*KEY), kinds)
+    picked, _ = selectors.select_revert(kinds, jobs(spark, sf).select(*KEY))
     return flat(lifecycle.revert_step(picked).select(*_WALKED))
 
 
@@ -240,8 +241,6 @@ select task_id, case when why is not null then state when not is_source then 'RE
  coalesce(why, case when not is_source then 'ALREADY_TARGET' end, pause_reason) pause_reason from due""",
 )
 def _(spark, sf):
-    from carryall.plans.runs import migrate_plan
-
     out = migrate_plan(
         jobs(spark, sf),
         fixture(spark, sf, "fleet").join(catalog(spark, sf).select(*KEY, "fields"), KEY, "left"),

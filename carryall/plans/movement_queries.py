@@ -118,6 +118,15 @@ def _(spark, sf):
     return _marks(spark, sf)
 
 
+@query(
+    "set_watermarks",
+    f"select table_name, snapshot_id, '{AS_OF}' mirrored_at from ({_LATEST}) where table_name in (select table_name from mirror_log)",
+)
+def _(spark, sf):
+    tables = fixture(spark, sf, "mirror_log").select("table_name")
+    return flat(movement.set_watermarks(tables, fixture(spark, sf, "ledger"), AS_OF))
+
+
 @query(
     "in_sync",
     f"""with latest as ({_LATEST}), marks as ({_MARKS}) select table_name, snapshot_id, watermark,

@@ -11,6 +11,7 @@ from carryall.plans.fixtures import AS_OF, fixture, jobs
 from carryall.plans.registry import EMPTY_TABLES, IS_SOURCE, flat, query, sql_set, sql_text, sql_time
 from carryall.plans.runs import notify_plan
 from carryall.schemas import KEY
+from carryall.sources.tables import pin
 
 _KEY_SQL = ", ".join(KEY)
 
@@ -87,8 +88,7 @@ gated as (select *, coalesce(case due_level when 1 then len(owner_mails) > 0 and
 
 def _run(spark, sf):
     run_jobs = selectors.select_notify(jobs(spark, sf))
-    gated = outbox.notify_gate(run_jobs, fixture(spark, sf, "catalog"), empty_tables(spark, sf), AS_OF)
-    return run_jobs, gated
+    return outbox.notify_gate(run_jobs, fixture(spark, sf, "catalog"), empty_tables(spark, sf), AS_OF)
 
 
 def _stamp(n: int) -> str:
@@ -102,9 +102,8 @@ def _stamp(n: int) -> str:
  migration_paused, coalesce(why, pause_reason) pause_reason, {_stamp(1)}, {_stamp(2)}, {_stamp(3)} from gated""",
 )
 def _(spark, sf):
-    _, gated = _run(spark, sf)
     return flat(
-        gated.select(
+        _run(spark, sf).select(
             "task_id",
             "due_level",
             "send_mail",
@@ -159,14 +158,13 @@ _PER_MAIL = 3
 
 @query("owner_digest", f"with {_GATED}, {_digest(1000)} select * from digest")
 def _(spark, sf):
-    run_jobs, gated = _run(spark, sf)
-    return flat(outbox.owner_digest(run_jobs, gated, AS_OF))
+    return flat(outbox.owner_digest(pin(_run(spark, sf), "run"), AS_OF))
 
 
 @query("owner_digest_parts", f"with {_GATED}, {_digest(_PER_MAIL)} select * from digest")
 def _(spark, sf):
-    run_jobs, gated = _run(spark, sf)
-    return flat(outbox.owner_digest(run_jobs, gated, AS_OF, tables_per_mail=_PER_MAIL))
+    gated = pin(_run(spark, sf), "run")
+    return flat(outbox.owner_digest(gated, AS_OF, tables_per_mail=_PER_MAIL))
 
 
 _TABLE = "catalog_name || '.' || db_name || '.' || tbl_name"

@@ -249,7 +249,7 @@ def _(spark, sf):
 def _revert(spark, sf, **options):
     all_jobs = _with_copies(jobs(spark, sf))
     kinds = enrich.classify_kind(all_jobs, fixture(spark, sf, "catalog"))
-    return selectors.select_revert(all_jobs, _named(spark, sf), kinds, **options)
+    return selectors.select_revert(kinds, _named(spark, sf), **options)
 
 
 _REVERT_CHECK = f"""select {_SHORT_SQL} from jobs j join (select {', '.join(KEY)}, {IS_SOURCE} src from catalog) c

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from carryall import vocabulary as v
 from carryall.operators import enrich, lifecycle, outbox, selectors
+from carryall.sources.tables import pin
 
 
 def preprocess_plan(
@@ -51,10 +52,11 @@ def migrate_plan(
         due = selectors.filter_batch(due, batches, batch_id)
     if shard is not None:
         due = selectors.assign_shard(due, shard[1], keep=shard[0]).drop("shard")
-    gated = lifecycle.migrate_gate(due, catalog, empty, names, allow_text)
+    marked = enrich.mark_empty(due, empty)
+    gated = lifecycle.migrate_gate(marked, catalog, names=names, allow_text=allow_text)
     moved = lifecycle.advance_jobs(gated, only=F.col("gate") == "go")
     planned = lifecycle.copy_strategy(
-        moved.withColumn("__format", F.col("stg_format")), catalog, empty, names
+        moved.withColumn("__format", F.col("stg_format")), catalog, names=names
     )
     copies = F.array_contains("actions", "copy")
     return planned.withColumns(
@@ -62,7 +64,7 @@ def migrate_plan(
             "strategy": F.when(copies, F.col("strategy")),
             "stg_format": F.when(copies, F.col("stg_format")).otherwise(F.col("__format")),
         }
-    ).drop("__format")
+    ).drop("__format", "is_empty")
 
 
 def notify_plan(
@@ -74,8 +76,10 @@ def notify_plan(
     surplus_readers: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(changed jobs, outbox rows) of one notification run."""
-    run_jobs = selectors.select_notify(jobs)
-    gated = outbox.notify_gate(run_jobs, catalog, empty, as_of, names)
-    mails = outbox.render_outbox(run_jobs, gated, as_of, names, surplus_readers)
+    due = selectors.select_notify(jobs)
+    # The mails and the stamps must come from the same rows, and both are read
+    # several times.
+    gated = pin(outbox.notify_gate(due, catalog, empty, as_of, names), "notify")
+    mails = outbox.render_outbox(gated, as_of, names, surplus_readers)
     return gated.drop("due_level", "send_mail"), mails
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carryall.functions.times import moment
+from carryall.schemas import KEY
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -95,3 +96,50 @@ def commit_rows(
 def partition_map(parts: list[str]):
     pairs = [c for p in parts for c in (F.lit(p), F.col(p).cast("string"))]
     return F.create_map(*pairs).cast("map<string,string>")
+
+
+def probe_tables(spark: SparkSession, keys: DataFrame, spell=None) -> DataFrame:
+    """Which of the named tables hold a row: their keys.
+
+    For tables whose size nobody knows; each costs a one-row scan. ``spell``
+    turns (catalog, db, table) into the name Spark knows.
+    """
+    spell = spell or dotted
+    filled = []
+    for row in keys.select(*KEY).distinct().toLocalIterator():
+        if spark.table(spell(*row)).limit(1).count():
+            filled.append(tuple(row))
+    return spark.createDataFrame(filled, ", ".join(f"{c} string" for c in KEY))
+
+
+def dotted(catalog: str, db: str, tbl: str) -> str:
+    return f"`{catalog}`.`{db}`.`{tbl}`"
+
+
+def run_renames(spark: SparkSession, plan: DataFrame, spell=None) -> int:
+    """Carries out a rename plan on the session's tables; gives the number of renames.
+
+    Only names come to the driver. A rename waits until the name it takes is free.
+    """
+    spell = spell or dotted
+    pending = {}
+    for row in plan.select(*KEY, "new_name").toLocalIterator():
+        pending[(row[0], row[1], row[2])] = row["new_name"]
+    done = 0
+    while pending:
+        ready = [k for k, new in pending.items() if (k[0], k[1], new) not in pending]
+        if not ready:
+            raise ValueError(f"renames in a circle: {sorted(pending)}")
+        for key in ready:
+            new = pending.pop(key)
+            old_name, new_name = spell(*key), spell(key[0], key[1], new)
+            spark.sql(f"ALTER TABLE {old_name} RENAME TO {new_name}")
+            if partition_columns(spark, new_name) and _is_managed(spark, new_name):
+                # The in-memory catalogue forgets where moved partitions are.
+                spark.catalog.recoverPartitions(new_name)
+            done += 1
+    return done
+
+
+def _is_managed(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "MANAGED"
