@@ -12,17 +12,22 @@ from carryall.functions.names import qualified
 from carryall.functions.times import moment
 from carryall.operators.selectors import select_mirror
 from carryall.sources.tables import (
+    SHARED_FILES,
+    copy_rows,
     dotted,
     fresh_path,
+    get_property,
+    is_managed,
     partition_columns,
     partition_map,
     pin,
+    set_properties,
     spread,
+    table_location,
 )
 
 # Table properties set by the copy operators.
 COPY_PROPERTIES = {"spark.behavior.compatibility": "true", "migrated-from-source": "true"}
-SHARED_FILES = "shares-files-with"
 WATERMARK = "watermark_snapshot_id"
 
 # Up to this many changed partitions are named in the scan's filter, which prunes
@@ -46,16 +51,11 @@ def snapshot_manifest(df: DataFrame, parts: list[str]) -> DataFrame:
     )
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.filter("col_name = 'Location'").select("data_type").first()[0]
-
-
 def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Registers ``dst`` over the files of the Parquet table ``src``; copies nothing.
 
-    The target is marked as sharing files, so that mirroring never writes into
-    the source's folder. Gives the manifest.
+    The target is marked as sharing files, so that it gets files of its own
+    before anything is written to it. Gives the manifest.
     """
     parts = partition_columns(spark, src)
     location = table_location(spark, src)
@@ -67,17 +67,6 @@ def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
     return snapshot_manifest(spark.table(dst), parts)
 
 
-def set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> None:
-    listed = ", ".join(f"'{k}'='{val}'" for k, val in values.items())
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
-
-
-def get_property(spark: SparkSession, table: str, key: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == key)
-    found = rows.first()
-    return None if found is None else found["value"]
-
-
 def rewrite_copy(
     spark: SparkSession,
     src: str,
@@ -89,12 +78,8 @@ def rewrite_copy(
 
     An existing target is dropped first. External targets need a new folder.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {dst}")
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {dst} LIKE {src} USING {provider}{where}")
+    copy_rows(spark, src, dst, provider, location)
     set_properties(spark, dst, COPY_PROPERTIES)
-    rows = spark.table(src).select(*spark.table(dst).columns)
-    spread(rows, partition_columns(spark, dst)).write.insertInto(dst)
     return spark.table(dst)
 
 
@@ -104,9 +89,9 @@ def copy_table(
     """Runs the chosen strategy and gives the one used in the end.
 
     A snapshot of files that turn out not to be Parquet is undone and the table
-    rewritten instead.
+    rewritten instead; so is a managed table, whose files move when it is renamed.
     """
-    if strategy == "SNAPSHOT":
+    if strategy == "SNAPSHOT" and not is_managed(spark, src):
         try:
             # Footers of all files are read here, so foreign files show up now.
             snapshot_table(spark, src, dst).agg(F.sum("record_count")).collect()
@@ -371,6 +356,9 @@ def mirror_updates(
             return _log_row(spark, name, pinned, mirrored_at, 0, 0)
 
     parts = partition_columns(spark, dst)
+    if table_location(spark, src) == table_location(spark, dst):
+        # A snapshot nobody has written to since: both names stand for one set of files.
+        return _log_row(spark, name, pinned, mirrored_at, 0, 0)
     if get_property(spark, dst, SHARED_FILES) is not None:
         # Writing in place would write into the source's own files.
         rewrite_copy(spark, src, dst, location=fresh_path(spark, "own"))

@@ -12,6 +12,9 @@ from carryall.schemas import KEY
 
 _SETTING = "spark.checkpoint.dir"
 
+# Fixed value: property of a table that stands over another table's files.
+SHARED_FILES = "shares-files-with"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by the cluster.
@@ -52,6 +55,47 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.filter("col_name = 'Location'").select("data_type").first()[0]
+
+
+def is_managed(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "MANAGED"
+
+
+def set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> None:
+    listed = ", ".join(f"'{k}'='{val}'" for k, val in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def get_property(spark: SparkSession, table: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == key)
+    found = rows.first()
+    return None if found is None else found["value"]
+
+
+def copy_rows(
+    spark: SparkSession, src: str, dst: str, provider: str = "parquet", location: str | None = None
+) -> None:
+    """A new table ``dst`` laid out like ``src``, with all its rows."""
+    spark.sql(f"DROP TABLE IF EXISTS {dst}")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {dst} LIKE {src} USING {provider}{where}")
+    rows = spark.table(src).select(*spark.table(dst).columns)
+    spread(rows, partition_columns(spark, dst)).write.insertInto(dst)
+
+
+def own_files(spark: SparkSession, table: str) -> None:
+    """Gives a table that shares another one's files a copy of its own; else nothing."""
+    if get_property(spark, table, SHARED_FILES) is None:
+        return
+    copy = f"{table.strip('`').replace('`', '')}_{uuid.uuid4().hex[:8]}"
+    copy_rows(spark, table, copy, location=fresh_path(spark, "own"))
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {copy} RENAME TO {table}")
+
+
 def spread(df: DataFrame, parts: list[str]) -> DataFrame:
     """Rows laid out for a partitioned write.
 
@@ -66,9 +110,11 @@ def append_rows(
 ) -> DataFrame:
     """Appends by position to a table and gives the ledger rows of the commit.
 
-    The rows' columns are taken in the table's order whatever their names are.
+    The rows' columns are taken in the table's order whatever their names are. A
+    table that shares files gets its own first.
     """
     spark = df.sparkSession
+    own_files(spark, table)
     target = spark.table(table)
     if len(df.columns) != len(target.columns):
         raise ValueError(f"{table} has {len(target.columns)} columns, not {len(df.columns)}")
@@ -134,12 +180,8 @@ def run_renames(spark: SparkSession, plan: DataFrame, spell=None) -> int:
             new = pending.pop(key)
             old_name, new_name = spell(*key), spell(key[0], key[1], new)
             spark.sql(f"ALTER TABLE {old_name} RENAME TO {new_name}")
-            if partition_columns(spark, new_name) and _is_managed(spark, new_name):
+            if partition_columns(spark, new_name) and is_managed(spark, new_name):
                 # The in-memory catalogue forgets where moved partitions are.
                 spark.catalog.recoverPartitions(new_name)
             done += 1
     return done
-
-
-def _is_managed(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.getTable(table).tableType == "MANAGED"
