@@ -215,7 +215,8 @@ def writable_tables(catalog: DataFrame, names: v.Naming = v.DEFAULT) -> DataFram
 
 
 def _with_family(jobs: DataFrame, catalog: DataFrame, suffixes: dict[str, str], *facts) -> DataFrame:
-    return jobs.select(*KEY).join(table_family(catalog, suffixes, *facts), KEY, "left")
+    # A table queued twice is handled once; the join has the same key.
+    return jobs.select(*KEY).distinct().join(table_family(catalog, suffixes, *facts), KEY, "left")
 
 
 def _rejects(rows: DataFrame, reason: Column) -> DataFrame:
@@ -402,7 +403,7 @@ def copy_definition(
         F.col("data_uri"),
         sets.as_set(F.col("tags")).alias("tags"),
     )
-    pairs = jobs.select(*KEY).join(family, KEY).filter(
+    pairs = jobs.select(*KEY).distinct().join(family, KEY).filter(
         F.col("__to").isNotNull()
         & F.col("__from").isNotNull()
         & ~F.array_contains("__to.tags", names.lock_tag)
@@ -443,6 +444,7 @@ def copy_classification(
     )
     updates = (
         jobs.select(*KEY)
+        .distinct()
         .join(family, KEY)
         .filter(F.col("__to").isNotNull() & F.col("__from").isNotNull())
         .select(*KEY, F.col("__from").alias("__new"))

@@ -21,7 +21,7 @@ from carryall.sources.tables import (
     partition_columns,
     partition_map,
     pin,
-    set_properties,
+    property_list,
     spread,
     table_location,
 )
@@ -60,10 +60,13 @@ def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
     parts = partition_columns(spark, src)
     location = table_location(spark, src)
     spark.sql(f"DROP TABLE IF EXISTS {dst}")
-    spark.sql(f"CREATE TABLE {dst} LIKE {src} USING parquet LOCATION '{location}'")
+    by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    spark.sql(
+        f"CREATE TABLE {dst} ({spark.table(src).schema.toDDL()}) USING parquet{by} "
+        f"LOCATION '{location}' TBLPROPERTIES ({property_list({SHARED_FILES: src})})"
+    )
     if parts:
         spark.sql(f"MSCK REPAIR TABLE {dst}")
-    set_properties(spark, dst, {SHARED_FILES: src})
     return snapshot_manifest(spark.table(dst), parts)
 
 
@@ -78,8 +81,7 @@ def rewrite_copy(
 
     An existing target is dropped first. External targets need a new folder.
     """
-    copy_rows(spark, src, dst, provider, location)
-    set_properties(spark, dst, COPY_PROPERTIES)
+    copy_rows(spark, src, dst, provider, location, COPY_PROPERTIES)
     return spark.table(dst)
 
 
@@ -382,8 +384,11 @@ def mirror_updates(
     rewritten = wanted.count()
     if rewritten:
         fresh = _only_partitions(here, wanted, parts, rewritten).select(*there.columns)
+        if partition_columns(spark, src) != parts:
+            # Else each scan task reads files of one partition: nothing to shuffle.
+            fresh = spread(fresh, parts)
         with _overwriting_touched_only(spark):
-            spread(fresh, parts).write.insertInto(dst, overwrite=True)
+            fresh.write.insertInto(dst, overwrite=True)
     dropped = _drop_partitions(spark, dst, gone, parts)
     spark.catalog.refreshTable(dst)
     return _log_row(spark, name, pinned, mirrored_at, rewritten, dropped)

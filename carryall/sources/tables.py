@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -65,8 +66,7 @@ def is_managed(spark: SparkSession, table: str) -> bool:
 
 
 def set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> None:
-    listed = ", ".join(f"'{k}'='{val}'" for k, val in values.items())
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({property_list(values)})")
 
 
 def get_property(spark: SparkSession, table: str, key: str) -> str | None:
@@ -76,33 +76,53 @@ def get_property(spark: SparkSession, table: str, key: str) -> str | None:
 
 
 def copy_rows(
-    spark: SparkSession, src: str, dst: str, provider: str = "parquet", location: str | None = None
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    provider: str = "parquet",
+    location: str | None = None,
+    properties: dict[str, str] | None = None,
 ) -> None:
-    """A new table ``dst`` laid out like ``src``, with all its rows."""
+    """A new table ``dst`` with the columns, partitioning and all rows of ``src``.
+
+    Created, filled and stamped in one statement; an existing ``dst`` is dropped.
+    The source's files are partitioned as the target's are to be, so the copy is a
+    map over them and shuffles nothing.
+    """
+    parts = partition_columns(spark, src)
+    listed = ", ".join(f"`{p}`" for p in parts)
     spark.sql(f"DROP TABLE IF EXISTS {dst}")
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {dst} LIKE {src} USING {provider}{where}")
-    rows = spark.table(src).select(*spark.table(dst).columns)
-    spread(rows, partition_columns(spark, dst)).write.insertInto(dst)
+    spark.sql(
+        f"CREATE TABLE {dst} USING {provider}"
+        + (f" PARTITIONED BY ({listed})" if parts else "")
+        + (f" LOCATION '{location}'" if location else "")
+        + (f" TBLPROPERTIES ({property_list(properties)})" if properties else "")
+        + f" AS SELECT * FROM {src}"
+    )
+
+
+def property_list(values: dict[str, str]) -> str:
+    return ", ".join(f"'{k}'='{val}'" for k, val in values.items())
 
 
 def own_files(spark: SparkSession, table: str) -> None:
     """Gives a table that shares another one's files a copy of its own; else nothing."""
     if get_property(spark, table, SHARED_FILES) is None:
         return
-    copy = f"{table.strip('`').replace('`', '')}_{uuid.uuid4().hex[:8]}"
+    copy = f"{table.rstrip('`')}_{uuid.uuid4().hex[:8]}" + ("`" if table.endswith("`") else "")
     copy_rows(spark, table, copy, location=fresh_path(spark, "own"))
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {copy} RENAME TO {table}")
+    spark.sql(f"ALTER TABLE {copy} RENAME TO {_in_catalog(table)}")
 
 
 def spread(df: DataFrame, parts: list[str]) -> DataFrame:
     """Rows laid out for a partitioned write.
 
     Rebalancing brings a partition's rows together to avoid small files, and
-    splits a partition that is too big for one task into several.
+    splits a partition that is too big for one task into several. Without
+    partitions every task just writes its rows.
     """
-    return df.hint("rebalance", *parts) if parts else df.hint("rebalance")
+    return df.hint("rebalance", *parts) if parts else df
 
 
 def append_rows(
@@ -162,6 +182,11 @@ def dotted(catalog: str, db: str, tbl: str) -> str:
     return f"`{catalog}`.`{db}`.`{tbl}`"
 
 
+def _in_catalog(name: str) -> str:
+    """A table name without its catalog: a rename stays in the catalog it is in."""
+    return ".".join(re.findall(r"`[^`]*`|[^.`]+", name)[-2:])
+
+
 def run_renames(spark: SparkSession, plan: DataFrame, spell=None) -> int:
     """Carries out a rename plan on the session's tables; gives the number of renames.
 
@@ -179,7 +204,7 @@ def run_renames(spark: SparkSession, plan: DataFrame, spell=None) -> int:
         for key in ready:
             new = pending.pop(key)
             old_name, new_name = spell(*key), spell(key[0], key[1], new)
-            spark.sql(f"ALTER TABLE {old_name} RENAME TO {new_name}")
+            spark.sql(f"ALTER TABLE {old_name} RENAME TO {_in_catalog(new_name)}")
             if partition_columns(spark, new_name) and is_managed(spark, new_name):
                 # The in-memory catalogue forgets where moved partitions are.
                 spark.catalog.recoverPartitions(new_name)

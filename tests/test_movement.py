@@ -4,7 +4,16 @@ from pyspark.sql import functions as F
 
 from carryall.operators import movement
 from carryall.plans.movement_queries import make_table
-from carryall.sources.tables import append_rows, commit_rows, fresh_name, fresh_path, partition_columns, shared_folder
+from carryall.sources.tables import (
+    append_rows,
+    commit_rows,
+    fresh_name,
+    fresh_path,
+    get_property,
+    partition_columns,
+    set_properties,
+    shared_folder,
+)
 
 AT = "2024-03-01 12:00:00"
 MIXED = "id int, v string, m map<string,int>, p string, q int"
@@ -171,7 +180,7 @@ def test_shared_files_are_never_written_in_place(spark):
     movement.mirror_updates(spark, newer, target, AT)
     assert spark.table(owner).count() == 40
     assert movement.content_difference(spark.table(newer), spark.table(target)).count() == 0
-    assert movement.get_property(spark, target, movement.SHARED_FILES) is None
+    assert get_property(spark, target, movement.SHARED_FILES) is None
 
 
 def test_rewrite_keeps_partitioning_and_replaces_the_target(spark):
@@ -181,8 +190,8 @@ def test_rewrite_keeps_partitioning_and_replaces_the_target(spark):
         movement.rewrite_copy(spark, src, dst, location=fresh_path(spark, "dst"))
         assert partition_columns(spark, dst) == ["p", "q"]
         assert movement.content_difference(spark.table(src), spark.table(dst)).count() == 0
-    assert movement.get_property(spark, dst, "migrated-from-source") == "true"
-    assert movement.get_property(spark, dst, "absent") is None
+    assert get_property(spark, dst, "migrated-from-source") == "true"
+    assert get_property(spark, dst, "absent") is None
 
 
 def test_text_table_falls_back_to_a_rewrite(spark):
@@ -209,7 +218,7 @@ def test_append_is_by_position_and_checks_the_width(spark):
 
 def test_watermark_properties_and_in_sync(spark, rows):
     table = make_table(spark.range(3).toDF("id"), "t", [])
-    movement.set_properties(spark, table, {movement.WATERMARK: "12"})
+    set_properties(spark, table, {movement.WATERMARK: "12"})
     other = make_table(spark.range(3).toDF("id"), "t", [])
     marks = movement.watermark_properties(spark, [table, other])
     assert rows(marks) == sorted([(table, 12), (other, None)], key=repr)
