@@ -19,7 +19,6 @@ from carryall.sources.tables import (
     get_property,
     is_managed,
     partition_columns,
-    partition_map,
     pin,
     property_list,
     spread,
@@ -288,34 +287,41 @@ def changed_partitions(src: DataFrame, dst: DataFrame, parts: list[str]) -> Data
     differs = F.col("n_src") != F.col("n_dst")
     for name in PIECE_NAMES:
         differs = differs | (F.col(name) != 0)
-    kind = (
-        F.when(F.col("n_dst") == 0, "added").when(F.col("n_src") == 0, "removed").otherwise("changed")
-    )
     return (
         fingerprints(src, dst, parts)
         .filter(differs)
-        .select(*[F.col(f"`{p}`") for p in parts], kind.alias("kind"), "n_src", "n_dst")
+        .select(*[F.col(f"`{p}`") for p in parts], _kind().alias("kind"), "n_src", "n_dst")
     )
 
 
 def _ledger_changes(
     src: DataFrame, dst: DataFrame, parts: list[str], touched: DataFrame
 ) -> DataFrame:
-    """Touched partitions with their kind, told from partition counts alone."""
-    both = _sides(src, dst, *[F.col(f"`{p}`") for p in parts])
-    counts = both.groupBy(*parts).agg(
-        F.count_if(F.col("__src")).alias("n_src"), F.count_if(~F.col("__src")).alias("n_dst")
+    """Touched partitions with their kind; only their files' footers are read."""
+    types = {f.name: f.dataType for f in dst.schema.fields}
+    values = F.col("partition_values")
+    listed = pin(
+        touched.select(*[values[p].cast(types[p]).alias(p) for p in parts]).distinct(), "touched"
     )
-    listed = touched.select("partition_values").withColumn(
-        "__p", F.array_sort(F.map_entries("partition_values"))
+    count = listed.count()
+    part_cols = [F.col(f"`{p}`") for p in parts]
+    both = _sides(
+        _only_partitions(src, listed, parts, count),
+        _only_partitions(dst, listed, parts, count),
+        *part_cols,
     )
-    kind = (
-        F.when(F.col("n_dst") == 0, "added").when(F.col("n_src") == 0, "removed").otherwise("changed")
+    return (
+        both.groupBy(*parts)
+        .agg(
+            F.count_if(F.col("__src")).alias("n_src"), F.count_if(~F.col("__src")).alias("n_dst")
+        )
+        .select(*part_cols, _kind().alias("kind"), "n_src", "n_dst")
     )
+
+
+def _kind() -> Column:
     return (
-        counts.withColumn("__p", F.array_sort(F.map_entries(partition_map(parts))))
-        .join(listed.select("__p").distinct(), "__p", "left_semi")
-        .select(*[F.col(f"`{p}`") for p in parts], kind.alias("kind"), "n_src", "n_dst")
+        F.when(F.col("n_dst") == 0, "added").when(F.col("n_src") == 0, "removed").otherwise("changed")
     )
 
 
