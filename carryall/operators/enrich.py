@@ -36,7 +36,7 @@ def classify_kind(jobs: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAU
     """Adds exists and is_source; a missing table is neither."""
     facts = catalog.select(*KEY, source_format(names).alias("__src"))
     return jobs.join(facts, KEY, "left").select(
-        *[jobs[c] for c in jobs.columns],
+        *jobs.columns,
         F.col("__src").isNotNull().alias("exists"),
         F.coalesce("__src", F.lit(False)).alias("is_source"),
     )
@@ -84,7 +84,7 @@ def find_empty_tables(
         F.coalesce(F.col("data_size") == 0, F.lit(False))
         | (unknown & F.col("__rows").isNull())
     )
-    return joined.select(*[jobs[c] for c in jobs.columns], empty.alias("is_empty"))
+    return joined.select(*jobs.columns, empty.alias("is_empty"))
 
 
 def mark_empty(jobs: DataFrame, empty: DataFrame | None) -> DataFrame:

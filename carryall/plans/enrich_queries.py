@@ -136,8 +136,8 @@ def _(spark, sf):
     return enrich.downstream_users(jobs(spark, sf), fixture(spark, sf, "lineage"))
 
 
-# Sets of up to 40 readers go into one row; the other tables stay as pairs.
-_MOST = 40
+# Sets of up to five readers go into one row; the other tables stay as pairs.
+_MOST = 5
 
 
 @query(

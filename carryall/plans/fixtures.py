@@ -158,8 +158,20 @@ where n <= 3""",
 }
 
 
+# Plans (not data) of the fixtures already built in a session.
+_built: dict[tuple, DataFrame] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table; its files are listed once per session."""
+    return _once(spark, sf_dir, table, lambda: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
+    if key not in _built:
+        _built[key] = build()
+    return _built[key]
 
 
 def _used(text: str) -> list[str]:
@@ -182,17 +194,23 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture (or given table) as a DataFrame."""
     if name not in _FIXTURES:
         return base(spark, sf_dir, name)
-    text = _FIXTURES[name]
-    inputs = {used: fixture(spark, sf_dir, used) for used in _used(text)}
-    text = text.replace("{", "{{").replace("}", "}}")
-    for used in inputs:
-        text = re.sub(rf"\b(from|join)\s+{used}\b", rf"\1 {{{used}}}", text)
-    return spark.sql(text, **inputs)
+
+    def build():
+        text = _FIXTURES[name]
+        inputs = {used: fixture(spark, sf_dir, used) for used in _used(text)}
+        text = text.replace("{", "{{").replace("}", "}}")
+        for used in inputs:
+            text = re.sub(rf"\b(from|join)\s+{used}\b", rf"\1 {{{used}}}", text)
+        return spark.sql(text, **inputs)
+
+    return _once(spark, sf_dir, name, build)
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decoded queue."""
-    return decode_jobs(fixture(spark, sf_dir, "queue"))
+    return _once(
+        spark, sf_dir, "decoded queue", lambda: decode_jobs(fixture(spark, sf_dir, "queue"))
+    )
 
 
 def with_fixtures(sql: str) -> str:

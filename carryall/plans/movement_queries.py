@@ -8,7 +8,7 @@ from carryall.operators import movement
 from carryall.plans.fixtures import AS_OF, base, fixture
 from carryall.plans.registry import flat, query, sql_time
 from carryall.schemas import JOB
-from carryall.sources.tables import append_rows, commit_rows, fresh_name, fresh_path, spread
+from carryall.sources.tables import append_rows, commit_rows, fresh_name, fresh_path, pin, spread
 
 _PARTS = ["l_returnflag", "l_linestatus"]
 _PARTS_SQL = ", ".join(_PARTS)
@@ -296,7 +296,8 @@ def _(spark, sf):
     dst = make_table(early, "mirror", _PARTS)
     one = commit_rows(early, src, _PARTS, 1, "1998-06-01 00:00:00", "append")
     two = append_rows(lineitem.filter(late).select(*moved), src, 2, "1998-06-02 00:00:00")
-    movement.mirror_updates(spark, src, dst, AS_OF, ledger=one.unionByName(two), watermark=1)
+    ledger = pin(one.unionByName(two), "ledger")
+    movement.mirror_updates(spark, src, dst, AS_OF, ledger=ledger, watermark=1)
     return flat(spark.table(dst))
 
 
@@ -354,7 +355,7 @@ def _(spark, sf):
     mirrored = spark.createDataFrame(log, "table_name string, snapshot_id bigint").withColumn(
         "mirrored_at", F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
     )
-    movement.mirror_sweep(spark, queue, ledger, mirrored, AS_OF)
+    movement.mirror_sweep(spark, queue, pin(ledger, "ledger"), mirrored, AS_OF)
 
     def counts(suffix):
         out = None
