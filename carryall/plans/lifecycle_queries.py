@@ -20,7 +20,8 @@ from carryall.plans.enrich_queries import (
 )
 from carryall.plans.fixtures import AS_OF, DAY_KEY, fixture, jobs
 from carryall.plans.registry import EMPTY_TABLES, IS_SOURCE, NAME, flat, query, sql_set, sql_text
-from carryall.plans.runs import migrate_plan
+from carryall.plans.queue_queries import PREPROCESS_DUE
+from carryall.plans.runs import migrate_plan, preprocess_plan
 from carryall.schemas import KEY
 
 _KEY_SQL = ", ".join(KEY)
@@ -29,9 +30,7 @@ _STATE = ["task_id", "to_be_processed", "in_process", "state", "desired_state",
 _FRESH = "(to_be_processed = 0 and in_process = 0 and state = 'NEW' and desired_state = 'NEW')"
 
 
-@query(
-    "preprocess_step",
-    f"""with owners as ({OWNERS}), readers as ({READERS}),
+_PREPROCESSED = f"""with owners as ({OWNERS}), readers as ({READERS}),
 sets as (select source_name, list_sort(list(downstream_user)) users from readers group by source_name),
 facts as (select {_KEY_SQL}, {IS_SOURCE} src,
  case when lower(output_format) like '%parquet%' then 'parquet' else 'csv/text' end fmt from catalog),
@@ -50,8 +49,10 @@ select task_id, case when found then fmt else stg_format end stg_format,
   then 'SOURCE_ARCHIVED' else desired_state end desired_state,
  case when gone or (found and not src) then 1 else migration_paused end migration_paused,
  case when gone then 'TABLE_NOT_FOUND' when found and not src then 'ALREADY_TARGET' else pause_reason end pause_reason
-from j""",
-)
+from j"""
+
+
+@query("preprocess_step", _PREPROCESSED)
 def _(spark, sf):
     sources = owner_sources(spark, sf)
     owners = enrich.owner_candidates(*sources, DAY_KEY)
@@ -64,6 +65,25 @@ def _(spark, sf):
     )
 
 
+@query(
+    "preprocess_plan",
+    f"{_PREPROCESSED} where task_id in (select task_id from jobs where {PREPROCESS_DUE})",
+)
+def _(spark, sf):
+    out, _ = preprocess_plan(
+        jobs(spark, sf),
+        catalog(spark, sf),
+        category_metadata(spark, sf),
+        *owner_sources(spark, sf),
+        fixture(spark, sf, "lineage"),
+        AS_OF,
+        DAY_KEY,
+    )
+    return flat(
+        out.select("task_id", "stg_format", "data_category", "tbl_owners", "downstream_users", *_STATE[1:])
+    )
+
+
 _GATE = f"""with empty_tables as ({EMPTY_TABLES}),
 f as (select {_KEY_SQL}, {IS_SOURCE} src from fleet),
 k as (select catalog_name, db_name, substr(tbl_name, 1, length(tbl_name) - 7) tbl_name, true kept

@@ -186,13 +186,13 @@ def _(spark, sf):
 
 
 _ACTIVE = "migration_paused = 0"
-_PREPROCESS = f"""{_ACTIVE} and ((to_be_processed = 0 and in_process = 0 and state = 'NEW' and desired_state = 'NEW')
+PREPROCESS_DUE = f"""{_ACTIVE} and ((to_be_processed = 0 and in_process = 0 and state = 'NEW' and desired_state = 'NEW')
  or (in_process = 1 and state = 'OPEN' and desired_state = 'OPEN'
      and comm_level2_date < timestamp '{AS_OF}' - to_days(probation_gap_days))
  or (in_process = 1 and state = 'SOURCE_ARCHIVED' and desired_state = 'SOURCE_ARCHIVED'))"""
 
 
-@query("select_preprocess", f"select {_SHORT_SQL} from jobs where {_PREPROCESS}")
+@query("select_preprocess", f"select {_SHORT_SQL} from jobs where {PREPROCESS_DUE}")
 def _(spark, sf):
     return selectors.select_preprocess(jobs(spark, sf), AS_OF).select(*_SHORT)
 
@@ -207,7 +207,7 @@ def _shard_sql(n: int, column: str = "task_id") -> str:
 
 @query(
     "select_preprocess_batch",
-    f"""select {_SHORT_SQL} from jobs where {_PREPROCESS} and {_shard_sql(3)} = 2
+    f"""select {_SHORT_SQL} from jobs where {PREPROCESS_DUE} and {_shard_sql(3)} = 2
  order by task_id limit 500""",
 )
 def _(spark, sf):

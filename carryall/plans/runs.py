@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from carryall import vocabulary as v
+from carryall.functions import sets
+from carryall.functions.names import qualified
 from carryall.operators import enrich, lifecycle, outbox, selectors
 from carryall.sources.tables import pin
 
@@ -23,10 +25,29 @@ def preprocess_plan(
     limit: int | None = None,
     shard: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(changed jobs, readers too many for the queue column as table_name, downstream_user)."""
-    due = selectors.select_preprocess(jobs, as_of, limit, shard)
-    owners = enrich.owner_candidates(contacts, meta_daily, meta_events, day_key, names)
-    pairs = enrich.readers(lineage, names).withColumnRenamed("source_name", "table_name")
+    """(changed jobs, readers too many for the queue column as table_name, downstream_user).
+
+    The large inputs are cut down to the tables that lack the fact in question
+    before anything is aggregated.
+    """
+    due = pin(selectors.select_preprocess(jobs, as_of, limit, shard), "due")
+    fresh = due.filter(F.col("state") == v.NEW)
+
+    def lacking(column):
+        return fresh.filter(sets.is_blank(F.col(column))).select(qualified("/").alias("table_name"))
+
+    unowned = lacking("tbl_owners")
+    owners = enrich.owner_candidates(
+        contacts,
+        meta_daily,
+        meta_events.join(unowned, "table_name", "left_semi"),
+        day_key,
+        names,
+    )
+    unread = lacking("downstream_users").withColumnRenamed("table_name", "source_name")
+    pairs = enrich.readers(lineage.join(unread, "source_name", "left_semi"), names)
+    # Distinct pairs are a small part of the lineage, and are gone through three times.
+    pairs = pin(pairs.withColumnRenamed("source_name", "table_name"), "readers")
     folded, surplus = enrich.fold_sets(pairs, ["table_name"], "downstream_user", "downstream_users")
     return lifecycle.preprocess_step(due, catalog, metadata, owners, folded, names), surplus
 
