@@ -18,6 +18,7 @@ from carryall.sources.tables import (
     fresh_path,
     get_property,
     is_managed,
+    is_parquet,
     partition_columns,
     pin,
     property_list,
@@ -89,10 +90,11 @@ def copy_table(
 ) -> str:
     """Runs the chosen strategy and gives the one used in the end.
 
-    A snapshot of files that turn out not to be Parquet is undone and the table
-    rewritten instead; so is a managed table, whose files move when it is renamed.
+    Tables in other formats are rewritten, and so are managed ones, whose files
+    move when they are renamed. A snapshot of files that turn out not to be
+    Parquet after all is undone and the table rewritten instead.
     """
-    if strategy == "SNAPSHOT" and not is_managed(spark, src):
+    if strategy == "SNAPSHOT" and is_parquet(spark, src) and not is_managed(spark, src):
         try:
             # Footers of all files are read here, so foreign files show up now.
             snapshot_table(spark, src, dst).agg(F.sum("record_count")).collect()

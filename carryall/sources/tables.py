@@ -61,6 +61,14 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.filter("col_name = 'Location'").select("data_type").first()[0]
 
 
+def is_parquet(spark: SparkSession, table: str) -> bool:
+    """Does the table say that its files are Parquet?"""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
+        F.col("col_name").isin("Provider", "InputFormat")
+    )
+    return any("parquet" in r["data_type"].lower() for r in described.collect())
+
+
 def is_managed(spark: SparkSession, table: str) -> bool:
     return spark.catalog.getTable(table).tableType == "MANAGED"
 

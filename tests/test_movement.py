@@ -203,6 +203,30 @@ def test_text_table_falls_back_to_a_rewrite(spark):
     assert spark.table(dst).count() == 10
 
 
+def test_unreadable_files_are_reported(spark):
+    path = fresh_path(spark, "mixed")
+    rows = spark.range(10).selectExpr("id", "'x' v")
+    rows.write.parquet(path)
+    src, dst = fresh_name("mixed"), fresh_name("copy")
+    spark.sql(f"CREATE TABLE {src} (id BIGINT, v STRING) USING parquet LOCATION '{path}'")
+    rows.write.mode("append").format("csv").save(path)
+    # Neither way can read such a folder: the rewrite is tried and fails as well.
+    try:
+        movement.copy_table(spark, src, dst, "SNAPSHOT", location=fresh_path(spark, "copy"))
+    except Exception as problem:  # noqa: BLE001
+        assert "csv" in str(problem)
+    else:
+        raise AssertionError("text files were read as Parquet")
+    assert spark.read.parquet(path + "/*.parquet").count() == 10
+
+
+def test_managed_tables_are_rewritten(spark):
+    src, dst = fresh_name("managed"), fresh_name("copy")
+    spark.range(10).selectExpr("id", "id % 2 p").write.partitionBy("p").format("parquet").saveAsTable(src)
+    used = movement.copy_table(spark, src, dst, "SNAPSHOT", location=fresh_path(spark, "copy"))
+    assert used == "REWRITE" and spark.table(dst).count() == 10
+
+
 def test_append_is_by_position_and_checks_the_width(spark):
     table = make_table(spark.range(4).selectExpr("id", "id % 2 p"), "t", ["p"])
     ledger = append_rows(spark.range(4, 6).selectExpr("id a", "7 b"), table, 2, AT)
