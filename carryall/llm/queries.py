@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carryall.llm import decontaminate, hilbert, packing, simhash, substring, token_store
+from carryall.llm import attention_lm, decontaminate, embeddings, hilbert, language, packing, quality, simhash, substring, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,16 +31,44 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.language_model_scores(_table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_hilbert_shards, op4_token_files, op7_decontamination, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_substring_dedup,
+        op3_hilbert_shards,
+        op4_token_files,
+        op5_projection_forest,
+        op6_quality,
+        op7_decontamination,
+        op8_attention_scores,
+        op9_language,
+        op10_packing,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -14,7 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from carryall.llm.blocks import BLOCK_BYTES, count_blocks, in_blocks, parts, runs
 from carryall.llm.components import connected_components
@@ -266,11 +266,10 @@ def repeated_words(docs: DataFrame, width: int = WIDTH, carry: bool = False, blo
     got = shared.select("block", "bucket", "body", none.alias("docs"), none.alias("places"), F.lit(False).alias("told")).unionByName(
         told.withColumn("told", F.lit(True))
     )
-    out = _OUT
-    names = [c.split()[0] for c in ("doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "spans")]
+    out = T.StructType.fromDDL(_OUT)
     if carry:
-        out += f", rest {blocked.schema['rest'].dataType.simpleString()}"
-        names.append("rest")
+        out = out.add("rest", blocked.schema["rest"].dataType)
+    names = out.names
     return by_block(blocked).cogroup(by_block(got)).applyInArrow(lambda d, g: _remove(d, g, n, width, names), out)
 
 
