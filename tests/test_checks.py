@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from carryall.plans.fixtures import TABLES
+from carryall.plans.registry import load
 
 duckdb = pytest.importorskip("duckdb")
 SMALL = "/root/testdata/sf0.001"
@@ -21,12 +22,12 @@ def engine():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(load()[0]))
 def test_query_equals_sql(spark, engine, name):
-    df = entry.queries()[name](spark, SMALL)
+    df = load()[0][name](spark, SMALL)
     columns = sorted(df.columns)
     got = Counter(repr(tuple(r)) for r in df.select(*[f"`{c}`" for c in columns]).collect())
-    found = engine.execute(entry.oracle_sql()[name])
+    found = engine.execute(load()[1][name])
     names = [c[0] for c in found.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
