@@ -13,11 +13,13 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-# Pieces that a worker remembers; beyond it, it starts anew.
-_REMEMBERED = 500_000
+# Pieces of a generation. A worker remembers the one it fills and the one before.
+_REMEMBERED = 600_000
 
 # Blanks other than space and line feed, and runs of blanks: not cut for byte-level ids.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|[ \n][ \n]|^[ \n]|[ \n]$")
+# A word of letters with the marks that often end one.
+_PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([,.;:!?]*)")
 _CONTROL = re.compile("[\x1c-\x1f]")
 
 
@@ -48,30 +50,48 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.lowers = self.tokenizer.normalizer is not None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > _REMEMBERED:
-            self.known.clear()
-        model, letters, known = self.tokenizer.model, self.letters, self.known
+        if len(self.known) > _REMEMBERED:
+            self.known, self.older = {}, self.known
+        model, letters, known, older = self.tokenizer.model, self.letters, self.known, self.older
         others = []
         for p in pieces:
             if p in known:
                 continue
-            core = p[1:] if p[:1] == " " else p
-            # Letters up to U+00FF are one pre-token, composed already and lower-cased one by one.
-            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
-                plain = core.lower() if self.lowers else p
-                ids = [t.id for t in model.tokenize(plain.encode().decode("latin-1").translate(letters))]
-                known[p] = np.array(ids, "<u4").tobytes()
-            else:
+            if p in older:
+                known[p] = older[p]
+                continue
+            plain = _PLAIN.fullmatch(p)
+            if plain is None or not plain[2].isalpha() or not (p.isascii() or max(p) <= "\xff"):
                 others.append(p)
+                continue
+            # Line feed, letters and marks are pre-tokens of their own; letters up to
+            # U+00FF are composed already and lower-cased one by one.
+            lead, core, marks = plain.groups()
+            word = core if lead == "\n" else lead + core
+            ids = known.get(word) or older.get(word)
+            if ids is None:
+                text = core.lower() if self.lowers else word
+                found = [t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))]
+                ids = np.array(found, "<u4").tobytes()
+                known[word] = ids
+            if lead == "\n" or marks:
+                before = self._fixed("\n") if lead == "\n" else b""
+                known[p] = before + ids + (self._fixed(marks) if marks else b"")
         for p, ids in zip(others, self._whole(others) if others else []):
             known[p] = ids
 
+    def _fixed(self, piece: str) -> bytes:
+        if piece not in self.known:
+            self.known[piece] = self._whole([piece])[0]
+        return self.known[piece]
+
     def _cut(self, text: str) -> list[str] | None:
         if self.lowers:
             return None if _CONTROL.search(text) else text.split()
