@@ -327,7 +327,9 @@ def train(docs: DataFrame, tokenizer: str = WORD_BPE, rounds: int = ROUNDS) -> t
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), float(n)))], ["k", "value", "weight"])
 
         mean = (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")
-        got = windows.mapInArrow(fit, schema).groupBy("k").agg(mean).toArrow().sort_by("k")
+        # A round has its own share of the windows, so that each is trained on once.
+        share = windows.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == r)
+        got = share.mapInArrow(fit, schema).groupBy("k").agg(mean).toArrow().sort_by("k")
         if got.num_rows:
             model.load(got["value"].to_numpy())
     return vocabulary, model

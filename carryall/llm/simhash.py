@@ -169,6 +169,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents without those that have a near copy with a smaller doc_id in their component."""
-    gone = near_duplicates(docs, width, radius).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents without those that have a near copy with a smaller doc_id in their component.
+
+    Rows of one doc_id are one document and stay or go together; rows without stay.
+    """
+    gone = near_duplicates(docs, width, radius).where("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
