@@ -130,6 +130,13 @@ def rename_plan(edits: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAUL
     )
 
 
+def drop_plan(edits: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAULT) -> DataFrame:
+    """Physical drops, to be done before the renames, with the protective tags to lift first."""
+    held = F.array_intersect(sets.as_set(F.col("tags")), sets.literal_set(names.protected_tags))
+    gone = edits.filter("removed").select(*KEY).distinct()
+    return gone.join(catalog.select(*KEY, "tags"), KEY).select(*KEY, F.array_sort(held).alias("held_tags"))
+
+
 # ---------------------------------------------------------------- tags
 
 

@@ -203,22 +203,13 @@ def downstream_users(jobs: DataFrame, lineage: DataFrame, names: v.Naming = v.DE
     )
 
 
-def fold_sets(
-    pairs: DataFrame, key: list[str], member: str, out: str, most: int = 10_000
-) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs to one set per key, for the set columns of the queue.
+def fold_sets(pairs: DataFrame, key: list[str], member: str, out: str) -> DataFrame:
+    """Distinct pairs as one sorted set per key: the export for the queue's set columns.
 
-    Returns (sets, surplus). A key with more than ``most`` members is not folded
-    into one row: its pairs are all in ``surplus``, and the outbox takes both.
+    A set is one row whatever its size, as the column wants it. Nothing that is
+    sent out is made from it: mails start from the pairs.
     """
-    sizes = pairs.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
-    large = sizes.filter(F.col("__n") > most).select(*key)
-    folded = (
-        pairs.join(large, key, "left_anti")
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(member)).alias(out))
-    )
-    return folded, pairs.join(large, key, "left_semi")
+    return pairs.groupBy(*key).agg(F.array_sort(F.collect_set(member)).alias(out))
 
 
 def data_category(tags: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -27,13 +28,12 @@ from carryall.sources.tables import (
 )
 
 # Table properties set by the copy operators.
-COPY_PROPERTIES = {"spark.behavior.compatibility": "true", "migrated-from-source": "true"}
+COPY_PROPERTIES = {"migrated-from-source": "true"}
 WATERMARK = "watermark_snapshot_id"
 
-# Up to this many changed partitions are named in the scan's filter, which prunes
-# the others before any file is opened; more are joined. Either way is exact.
-_NAMED_PARTITIONS = 200
-_DROPS_PER_STATEMENT = 100
+# Partitions named in the filter of one scan; there are as many scans as it takes.
+_KEYS_PER_SCAN = 10_000
+_PARTITIONS_PER_STATEMENT = 100
 
 
 # ---------------------------------------------------------------- copies
@@ -54,8 +54,10 @@ def snapshot_manifest(df: DataFrame, parts: list[str]) -> DataFrame:
 def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Registers ``dst`` over the files of the Parquet table ``src``; copies nothing.
 
-    The target is marked as sharing files, so that it gets files of its own
-    before anything is written to it. Gives the manifest.
+    Every partition of the source that has files is added where its files are,
+    inside the table's folder or not; folders of partitions the source no longer
+    has are not. The target is marked as sharing files, so that it gets files of
+    its own before anything is written to it. Gives the manifest.
     """
     parts = partition_columns(spark, src)
     location = table_location(spark, src)
@@ -66,10 +68,29 @@ def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
         f"LOCATION '{location}' TBLPROPERTIES ({property_list({SHARED_FILES: src})})"
     )
     if parts:
-        spark.sql(f"MSCK REPAIR TABLE {dst}")
+        _add_partitions(spark, src, dst, parts)
     return snapshot_manifest(spark.table(dst), parts)
 
 
+def _add_partitions(spark: SparkSession, src: str, dst: str, parts: list[str]) -> None:
+    """Adds the source's partitions to ``dst``, some per statement; names only come to the driver."""
+    folder = F.regexp_replace("file_path", "/[^/]+$", "")
+    placed = snapshot_manifest(spark.table(src), parts).select(*parts, folder.alias("__folder")).distinct()
+    specs: list[str] = []
+
+    def flush() -> None:
+        if specs:
+            spark.sql(f"ALTER TABLE {dst} ADD " + " ".join(specs))
+            specs.clear()
+
+    for row in placed.toLocalIterator():
+        named = ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts)
+        specs.append(f"PARTITION ({named}) LOCATION {_sql_literal(unquote(row['__folder']))}")
+        if len(specs) == _PARTITIONS_PER_STATEMENT:
+            flush()
+    flush()
+
+
 def rewrite_copy(
     spark: SparkSession,
     src: str,
@@ -97,8 +118,11 @@ def copy_table(
     if strategy == "SNAPSHOT" and is_parquet(spark, src) and not is_managed(spark, src):
         try:
             # Footers of all files are read here, so foreign files show up now.
-            snapshot_table(spark, src, dst).agg(F.sum("record_count")).collect()
-            return "SNAPSHOT"
+            total = F.coalesce(F.sum("record_count"), F.lit(0))
+            copied = snapshot_table(spark, src, dst).agg(total).first()[0]
+            rows = snapshot_manifest(spark.table(src), partition_columns(spark, src)).agg(total).first()[0]
+            if copied == rows:
+                return "SNAPSHOT"
         except Exception as problem:  # noqa: BLE001
             if "not a Parquet file" not in str(problem) and "CANNOT_READ_FILE" not in str(problem):
                 raise
@@ -305,11 +329,10 @@ def _ledger_changes(
     listed = pin(
         touched.select(*[values[p].cast(types[p]).alias(p) for p in parts]).distinct(), "touched"
     )
-    count = listed.count()
     part_cols = [F.col(f"`{p}`") for p in parts]
     both = _sides(
-        _only_partitions(src, listed, parts, count),
-        _only_partitions(dst, listed, parts, count),
+        _only_partitions(src, listed, parts),
+        _only_partitions(dst, listed, parts),
         *part_cols,
     )
     return (
@@ -391,7 +414,7 @@ def mirror_updates(
     gone = changes.filter("kind = 'removed'").select(*parts)
     rewritten = wanted.count()
     if rewritten:
-        fresh = _only_partitions(here, wanted, parts, rewritten).select(*there.columns)
+        fresh = _only_partitions(here, wanted, parts).select(*there.columns)
         if partition_columns(spark, src) != parts:
             # Else each scan task reads files of one partition: nothing to shuffle.
             fresh = spread(fresh, parts)
@@ -428,23 +451,33 @@ def _mirror_whole(spark, src, dst, name, pinned, mirrored_at, compare: bool) ->
     return _log_row(spark, name, pinned, mirrored_at, 1, 0)
 
 
-def _only_partitions(df: DataFrame, wanted: DataFrame, parts: list[str], count: int) -> DataFrame:
-    if count <= _NAMED_PARTITIONS:
-        pick = F.lit(False)
-        for row in wanted.collect():
-            one = F.lit(True)
-            for p in parts:
-                value = row[p]
-                one = one & (
-                    F.col(f"`{p}`").isNull() if value is None else F.col(f"`{p}`") == F.lit(value)
-                )
-            pick = pick | one
-        return df.filter(pick)
-    keys = wanted.select(*[F.col(f"`{p}`").alias(f"__{p}") for p in parts])
-    match = F.lit(True)
-    for p in parts:
-        match = match & F.col(f"`{p}`").eqNullSafe(F.col(f"`__{p}`"))
-    return df.join(keys, match, "left_semi")
+def _only_partitions(df: DataFrame, wanted: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of the wanted partitions, nulls included; other partitions' files are not listed.
+
+    The filter is a set of texts made of partition columns alone, so it prunes at
+    any size. Names only come to the driver.
+    """
+    types = {f.name: f.dataType for f in wanted.schema.fields}
+
+    def key(source) -> Column:
+        # A text is led by a letter, so that no text stands for null.
+        texts = [F.coalesce(F.concat(F.lit("v"), source(p).cast(types[p]).cast("string")), F.lit("n")) for p in parts]
+        return F.concat_ws("\u0001", *texts)
+
+    own = key(lambda p: F.col(f"`{p}`"))
+    found, group = None, []
+
+    def scan(keys: list[str]) -> DataFrame:
+        return df.filter(own.isin(keys))
+
+    for row in wanted.select(own.alias("key")).toLocalIterator():
+        group.append(row["key"])
+        if len(group) == _KEYS_PER_SCAN:
+            found = scan(group) if found is None else found.unionByName(scan(group))
+            group = []
+    if group or found is None:
+        found = scan(group) if found is None else found.unionByName(scan(group))
+    return found
 
 
 def _drop_partitions(spark: SparkSession, table: str, gone: DataFrame, parts: list[str]) -> int:
@@ -459,7 +492,7 @@ def _drop_partitions(spark: SparkSession, table: str, gone: DataFrame, parts: li
     for row in gone.toLocalIterator():
         specs.append("PARTITION (" + ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts) + ")")
         dropped += 1
-        if len(specs) == _DROPS_PER_STATEMENT:
+        if len(specs) == _PARTITIONS_PER_STATEMENT:
             flush()
     flush()
     return dropped

@@ -38,33 +38,22 @@ def recipients(jobs: DataFrame, names: v.Naming = v.DEFAULT) -> DataFrame:
     )
 
 
-def mail_groups(addresses: Column, size: int = v.RECIPIENTS_PER_MAIL) -> Column:
-    """The sorted addresses in consecutive groups of at most ``size``."""
-    arr = F.array_sort(addresses)
-    count = F.ceil(F.size(arr) / F.lit(size)).cast("int")
-    groups = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.slice(arr, (i - 1) * size + 1, F.lit(size)),
-    )
-    return F.filter(groups, lambda g: F.size(g) > 0)
-
-
 def recipient_batches(
-    rows: DataFrame, addresses: str, size: int = v.RECIPIENTS_PER_MAIL
+    rows: DataFrame, addresses: str, key: list[str], size: int = v.RECIPIENTS_PER_MAIL
 ) -> DataFrame:
-    """One row per mail: (…, batch, recipients); rows without addresses vanish.
+    """One row per mail: (…, batch, recipients) from a set column; rows without addresses vanish.
 
-    The set is cut inside its row, so nothing is shuffled.
+    Groups are those of the pairs; ``key`` tells the rows apart.
     """
-    kept = [c for c in rows.columns if c != addresses]
-    cut = rows.select(*kept, F.posexplode(mail_groups(F.col(addresses), size)))
-    return cut.select(*kept, F.col("pos").alias("batch"), F.col("col").alias("recipients"))
+    pairs = rows.select(*key, F.explode(addresses).alias("__to"))
+    cut = recipient_batches_of_pairs(pairs, key, "__to", size)
+    return rows.drop(addresses).join(cut, key)
 
 
 def recipient_batches_of_pairs(
     pairs: DataFrame, key: list[str], member: str, size: int = v.RECIPIENTS_PER_MAIL
 ) -> DataFrame:
-    """The same from (key, member) pairs, for sets too large for one row.
+    """One row per mail from (key, member) pairs: (key, batch, recipients).
 
     Members are numbered without bringing a set together; only the finished
     groups of at most ``size`` addresses are.
@@ -227,14 +216,14 @@ def owner_digest(
     gated: DataFrame,
     as_of,
     names: v.Naming = v.DEFAULT,
-    tables_per_mail: int = 1000,
+    tables_per_mail: int = v.TABLES_PER_MAIL,
 ) -> DataFrame:
     """First notice to owners: (owner, part, parts, task_id, tables, subject, body).
 
     ``gated`` holds all jobs of the run. An owner of at least one job announced
     with a mail is told all of their tables in the run. The day comes from their
-    announced job with the lowest task id. A list beyond ``tables_per_mail`` goes
-    on in further parts, so that no owner's list is ever brought together whole.
+    announced job with the lowest task id. Like the number of recipients, a mail's
+    number of tables is fixed; every digest says which part of how many it is.
     """
     announced = recipients(gated.filter((F.col("due_level") == 1) & F.col("send_mail")), names)
     triggers = (
@@ -259,9 +248,7 @@ def owner_digest(
     subject = F.concat(
         F.lit("Table migration: tables you own will change their format on "),
         when,
-        F.when(
-            F.col("parts") > 1, F.format_string(" (part %d of %d)", F.col("part"), F.col("parts"))
-        ).otherwise(""),
+        F.format_string(" (part %d of %d)", F.col("part"), F.col("parts")),
     )
     text = F.concat(
         F.lit("You own these tables:\n"),
@@ -287,21 +274,43 @@ def owner_digest(
     )
 
 
+def addressed_readers(
+    due: DataFrame, readers: DataFrame | None = None, names: v.Naming = v.DEFAULT
+) -> DataFrame:
+    """(task_id, address) of the readers who get mail, any number of them.
+
+    ``readers``(task_id, downstream_user) are the stored pairs; without them the
+    queue's column is taken apart. Owners, the service account and addresses
+    outside the mail domain get none.
+    """
+    if readers is None:
+        readers = due.select("task_id", F.explode("downstream_users").alias("downstream_user"))
+    user = F.col("downstream_user")
+    return (
+        readers.join(due.select("task_id", "tbl_owners"), "task_id")
+        .filter(
+            user.contains(names.mail_domain)
+            & (user != names.service_account)
+            & ~F.coalesce(F.array_contains("tbl_owners", user), F.lit(False))
+        )
+        .select("task_id", user.alias("address"))
+        .distinct()
+    )
+
+
 def render_outbox(
     gated: DataFrame,
     as_of,
     names: v.Naming = v.DEFAULT,
-    surplus_readers: DataFrame | None = None,
-    tables_per_mail: int = 1000,
+    readers: DataFrame | None = None,
+    tables_per_mail: int = v.TABLES_PER_MAIL,
 ) -> DataFrame:
     """All mails of a run: (level, audience, task_id, batch, recipients, subject, body, content_type).
 
-    ``surplus_readers``(task_id, downstream_user) holds the readers of tables
-    whose set did not go into the queue column.
+    ``readers``: see ``addressed_readers``.
     """
     due = recipients(gated.filter("send_mail"), names)
-    everyone = F.array_sort(F.array_union("reader_mails", "owner_mails"))
-    first, later = F.col("due_level") == 1, F.col("due_level") > 1
+    first = F.col("due_level") == 1
     s1, b1 = _first_notice_reader(as_of, names)
     s2, b2 = _probation_notice(names)
     s3, b3 = _done_notice()
@@ -309,15 +318,14 @@ def render_outbox(
         F.col("due_level").alias("level"),
         F.when(first, "readers").otherwise("readers and owners").alias("audience"),
         "task_id",
-        F.when(first, F.col("reader_mails")).when(later, everyone).alias("__to"),
         F.when(first, s1).when(F.col("due_level") == 2, s2).otherwise(s3).alias("subject"),
         F.when(first, b1).when(F.col("due_level") == 2, b2).otherwise(b3).alias("body"),
     )
+    owners = due.filter(~first).select("task_id", F.explode("owner_mails").alias("address"))
+    people = addressed_readers(due, readers, names).unionByName(owners)
     columns = ["level", "audience", "task_id", "batch", "recipients", "subject", "body"]
-    mails = recipient_batches(rows, "__to").select(*columns)
-    if surplus_readers is not None:
-        extra = _surplus_mails(due, rows, surplus_readers, names).select(*columns)
-        mails = mails.unionByName(extra)
+    batches = recipient_batches_of_pairs(people, ["task_id"], "address")
+    mails = rows.join(batches, "task_id").select(*columns)
     digest = owner_digest(gated, as_of, names, tables_per_mail).select(
         F.lit(1).alias("level"),
         F.lit("owner").alias("audience"),
@@ -329,24 +337,3 @@ def render_outbox(
     )
     text = mails.withColumn("content_type", F.lit("text"))
     return text.unionByName(digest.withColumn("content_type", F.lit("html")))
-
-
-def _surplus_mails(
-    due: DataFrame, rows: DataFrame, surplus: DataFrame, names: v.Naming
-) -> DataFrame:
-    """Mails to readers kept as pairs; their batches go on after the row's own ones."""
-    user = F.col("downstream_user")
-    people = (
-        surplus.join(due.select("task_id", "tbl_owners"), "task_id")
-        .filter(
-            user.contains(names.mail_domain)
-            & (user != names.service_account)
-            & ~F.coalesce(F.array_contains("tbl_owners", user), F.lit(False))
-        )
-        .select("task_id", user)
-    )
-    batches = recipient_batches_of_pairs(people, ["task_id"], "downstream_user")
-    own = F.ceil(F.size("__to") / F.lit(v.RECIPIENTS_PER_MAIL)).cast("int")
-    return batches.join(rows.withColumn("__own", own), "task_id").withColumn(
-        "batch", F.col("batch") + F.col("__own")
-    )

@@ -119,16 +119,28 @@ def _(spark, sf):
     return cat.writable_tables(fleet(spark, sf)).select(*KEY)
 
 
-def _has(suffix: str) -> str:
-    """Does the job's table have this relative?"""
-    return (
-        f"exists (select 1 from fleet f where f.catalog_name = j.catalog_name and f.db_name = j.db_name "
-        f"and f.tbl_name = j.tbl_name || '{suffix}')"
+# Which relatives each job's table has: one join per suffix against the distinct names.
+_RELATIVES = {
+    "base": "",
+    "kept": "_source",
+    "copy": "_target",
+    "stored": "_source_archived",
+    "former": "_target_archived",
+    "retired": "_target_revert",
+}
+
+
+def _family_sql() -> str:
+    found = ", ".join(f"{name}.t is not null {name}" for name in _RELATIVES)
+    joins = " ".join(
+        f"left join names {name} on {name}.c = j.catalog_name and {name}.d = j.db_name and {name}.t = j.tbl_name || '{suffix}'"
+        for name, suffix in _RELATIVES.items()
     )
+    return f"""names as (select distinct catalog_name c, db_name d, tbl_name t from fleet),
+family as (select j.catalog_name, j.db_name, j.tbl_name, {found} from jobs j {joins})"""
 
 
-_FAMILY = f"""family as (select {_KEY_SQL}, {_has('')} base, {_has('_source')} kept, {_has('_target')} copy,
- {_has('_source_archived')} stored, {_has('_target_archived')} former, {_has('_target_revert')} retired from jobs j)"""
+_FAMILY = _family_sql()
 
 
 def _renamed_sql(renames: str, extra: str = "") -> str:
@@ -257,6 +269,18 @@ def _(spark, sf):
     return _after(spark, sf, cat.swap_back_finalized)
 
 
+@query(
+    "drop_plan",
+    f"""with {_FAMILY}, {_BASES}, gone as (select catalog_name, db_name, tbl_name || '_target_archived' tbl_name
+ from family join bases using ({_KEY_SQL}) where stored and not src and former)
+select {_KEY_SQL}, {_tags_sql(f"list_filter({_CLEAN}, lambda x: x in ('do_not_drop', 'do_not_rename'))")} held_tags
+from gone join fleet using ({_KEY_SQL})""",
+)
+def _(spark, sf):
+    edits, _ = cat.swap_back_finalized(jobs(spark, sf), fleet(spark, sf))
+    return flat(cat.drop_plan(edits, fleet(spark, sf)))
+
+
 @query(
     "swap_back_outcome",
     f"""with {_FAMILY}, {_BASES} select {_KEY_SQL}, coalesce(stored and not src, false) swapped,

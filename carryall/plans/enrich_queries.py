@@ -136,28 +136,14 @@ def _(spark, sf):
     return enrich.downstream_users(jobs(spark, sf), fixture(spark, sf, "lineage"))
 
 
-# Sets of up to five readers go into one row; the other tables stay as pairs.
-_MOST = 5
-
-
 @query(
     "reader_sets",
     f"""with readers as ({READERS}) select source_name, string_agg(downstream_user, ',' order by downstream_user)
- downstream_users from readers group by source_name having count(*) <= {_MOST}""",
-)
-def _(spark, sf):
-    pairs = enrich.readers(fixture(spark, sf, "lineage"))
-    return flat(enrich.fold_sets(pairs, ["source_name"], "downstream_user", "downstream_users", _MOST)[0])
-
-
-@query(
-    "reader_sets_surplus",
-    f"""with readers as ({READERS}) select source_name, downstream_user from readers where source_name in
- (select source_name from readers group by source_name having count(*) > {_MOST})""",
+ downstream_users from readers group by source_name""",
 )
 def _(spark, sf):
     pairs = enrich.readers(fixture(spark, sf, "lineage"))
-    return enrich.fold_sets(pairs, ["source_name"], "downstream_user", "downstream_users", _MOST)[1]
+    return flat(enrich.fold_sets(pairs, ["source_name"], "downstream_user", "downstream_users"))
 
 
 CATEGORY = """case when tag_key = 'core_pi' then 'CORE_PI' when tag_key = 'pi' and tag_value = 'yes' then 'PI'
@@ -183,7 +169,7 @@ def _(spark, sf):
 
 
 def reader_columns(spark, sf):
-    """(sets, surplus) of readers keyed as the queue's enrichment wants them."""
+    """Sets of readers keyed as the queue's enrichment wants them."""
     pairs = enrich.readers(fixture(spark, sf, "lineage")).withColumnRenamed("source_name", "table_name")
     return enrich.fold_sets(pairs, ["table_name"], "downstream_user", "downstream_users")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from carryall import vocabulary as v
@@ -24,6 +26,9 @@ from carryall.plans.queue_queries import PREPROCESS_DUE
 from carryall.plans.runs import migrate_plan, preprocess_plan
 from carryall.schemas import KEY
 
+# The databases of the fixture whose tables are always rewritten.
+_OWN = replace(v.DEFAULT, rewrite_db_prefixes=("ae_",))
+
 _KEY_SQL = ", ".join(KEY)
 _STATE = ["task_id", "to_be_processed", "in_process", "state", "desired_state", "migration_paused", "pause_reason"]
 
@@ -56,7 +61,7 @@ from j"""
 def _(spark, sf):
     sources = owner_sources(spark, sf)
     owners = enrich.owner_candidates(*sources, DAY_KEY)
-    sets, _ = reader_columns(spark, sf)
+    sets = reader_columns(spark, sf)
     out = lifecycle.preprocess_step(
         jobs(spark, sf), catalog(spark, sf), category_metadata(spark, sf), owners, sets
     )
@@ -130,7 +135,7 @@ select task_id, case when snap then stg_format else 'csv/text' end stg_format,
  case when snap then 'SNAPSHOT' else 'REWRITE' end strategy from j""",
 )
 def _(spark, sf):
-    out = lifecycle.copy_strategy(jobs(spark, sf), catalog(spark, sf), empty_tables(spark, sf))
+    out = lifecycle.copy_strategy(jobs(spark, sf), catalog(spark, sf), empty_tables(spark, sf), names=_OWN)
     return out.select("task_id", "stg_format", "strategy")
 
 
@@ -250,10 +255,15 @@ def _(spark, sf):
 @query(
     "migrate_plan",
     _GATE
-    + f""", due as (select * from gated where migration_paused = 0 and
+    + f""", ts as (select {_KEY_SQL}, {HAS_TS} has_ts from catalog),
+due as (select gated.*, (stg_format = 'parquet' and db_name not like 'ae\\_%' escape '\\' and not coalesce(has_ts, false))
+  or task_id in (select task_id from empty_tables) snap
+ from gated left join ts using ({_KEY_SQL}) where migration_paused = 0 and
  ((to_be_processed = 1 and comm_level1_date < timestamp '{AS_OF}' - to_days(initial_gap_days) and state = 'READY'
    and desired_state = 'LOCKED') or (in_process = 1 and state <> desired_state)))
-select task_id, case when why is not null then state when not is_source then 'READY' else 'OPEN' end state,
+select task_id, why is null "go", case when why is not null or not is_source then null when snap then 'SNAPSHOT' else 'REWRITE' end strategy,
+ case when why is not null or not is_source or snap then stg_format else 'csv/text' end stg_format,
+ case when why is not null then state when not is_source then 'READY' else 'OPEN' end state,
  case when why is not null then desired_state when not is_source then 'LOCKED' else 'OPEN' end desired_state,
  case when why is not null then '' when state = 'LOCKED' and not is_source then 'refuse_copy'
   when state = 'LOCKED' then 'copy,promote,unlock' else 'lock,copy,promote,unlock' end actions,
@@ -266,5 +276,6 @@ def _(spark, sf):
         fixture(spark, sf, "fleet").join(catalog(spark, sf).select(*KEY, "fields"), KEY, "left"),
         empty_tables(spark, sf),
         AS_OF,
+        names=_OWN,
     )
-    return flat(out.select(*_WALKED))
+    return flat(out.select(*_WALKED, "strategy", "stg_format", (F.col("gate") == "go").alias("go")))

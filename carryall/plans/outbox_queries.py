@@ -40,26 +40,20 @@ _ALL_READERS = """readers as (select source_name, case when contains(user_id, '@
  else user_id || '@example.com' end who from lineage where operation = 'read' group by all)"""
 
 
-@query(
-    "recipient_batches",
-    f"""with {_ALL_READERS}, numbered as (select source_name, who,
- (row_number() over (partition by source_name order by who) - 1) // 50 as batch from readers)
+_BATCHES = f"""with {_ALL_READERS}, numbered as (select source_name, who,
+ (row_number() over (partition by source_name order by substr(md5(who), 1, 3), who) - 1) // 50 as batch from readers)
 select source_name, cast(batch as int) batch, string_agg(who, ',' order by who) recipients
-from numbered group by source_name, batch""",
-)
+from numbered group by source_name, batch"""
+
+
+@query("recipient_batches", _BATCHES)
 def _(spark, sf):
     pairs = enrich.readers(fixture(spark, sf, "lineage"))
-    sets, _ = enrich.fold_sets(pairs, ["source_name"], "downstream_user", "users")
-    return flat(outbox.recipient_batches(sets, "users"))
+    sets = enrich.fold_sets(pairs, ["source_name"], "downstream_user", "users")
+    return flat(outbox.recipient_batches(sets, "users", ["source_name"]))
 
 
-@query(
-    "recipient_batches_of_pairs",
-    f"""with {_ALL_READERS}, numbered as (select source_name, who,
- (row_number() over (partition by source_name order by substr(md5(who), 1, 3), who) - 1) // 50 as batch from readers)
-select source_name, cast(batch as int) batch, string_agg(who, ',' order by who) recipients
-from numbered group by source_name, batch""",
-)
+@query("recipient_batches_of_pairs", _BATCHES)
 def _(spark, sf):
     pairs = enrich.readers(fixture(spark, sf, "lineage"))
     return flat(outbox.recipient_batches_of_pairs(pairs, ["source_name"], "downstream_user"))
@@ -149,7 +143,7 @@ paged as (select p.owner, cast(part as int) part, cast(parts as int) parts, task
  array_to_string(list_transform(tables, lambda t: '* ' || t || '. '), chr(10)) items from pages p join triggers g on p.owner = g.owner),
 digest as (select owner, part, parts, task_id, {sql_text('tables')} as "tables",
  'Table migration: tables you own will change their format on ' || day
-  || case when parts > 1 then ' (part ' || part || ' of ' || parts || ')' else '' end subject, {_html(text)} body from paged)"""
+  || ' (part ' || part || ' of ' || parts || ')' subject, {_html(text)} body from paged)"""
 
 
 # A small page, so that owners with many tables need several.
@@ -170,7 +164,7 @@ def _(spark, sf):
 _TABLE = "catalog_name || '.' || db_name || '.' || tbl_name"
 _NL = "chr(10) || chr(10)"
 _OUTBOX = f"""letters as (select due_level as "level", case when due_level = 1 then 'readers' else 'readers and owners' end audience,
- task_id, case when due_level = 1 then reader_mails else list_sort(list_distinct(list_concat(reader_mails, owner_mails))) end who,
+ task_id, case when due_level = 1 then reader_mails else list_distinct(list_concat(reader_mails, owner_mails)) end who,
  case due_level
   when 1 then 'Table migration: ' || {_TABLE} || ' will change its format on ' || {_long_date('initial_gap_days')}
   when 2 then 'Table migration: ' || {_TABLE} || ' is on probation' || case when probation_gap_days > 0 then ' for ' || probation_gap_days || ' Days' else '' end
@@ -187,9 +181,11 @@ _OUTBOX = f"""letters as (select due_level as "level", case when due_level = 1 t
   else 'You own or have read the table ' || {_TABLE} || '. Its move to the new table format is complete.' || {_NL}
    || 'There is nothing left to do.' end body
  from gated where send_mail),
-mails as (select "level", audience, task_id, unnest(range(0, (len(who) + 49) // 50)) as batch, who, subject, body from letters),
-outbox as (select "level", audience, task_id, cast(batch as int) batch, array_to_string(who[batch * 50 + 1 : batch * 50 + 50], ',') recipients,
- subject, body, 'text' content_type from mails
+addressed as (select task_id, unnest(who) as address from letters),
+mail_groups as (select task_id, address, (row_number() over (partition by task_id order by substr(md5(address), 1, 3), address) - 1) // 50 as batch from addressed),
+mail_batches as (select task_id, batch, string_agg(address, ',' order by address) recipients from mail_groups group by task_id, batch),
+outbox as (select "level", audience, task_id, cast(batch as int) batch, recipients,
+ subject, body, 'text' content_type from letters join mail_batches using (task_id)
  union all select 1, 'owner', task_id, part - 1, owner, subject, body, 'html' from digest)"""
 
 

@@ -25,8 +25,10 @@ def preprocess_plan(
     limit: int | None = None,
     shard: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(changed jobs, readers too many for the queue column as table_name, downstream_user).
+    """(changed jobs, their readers as task_id, downstream_user).
 
+    The pairs are of all readers of the jobs that were looked up, however many; store
+    them for the notification runs. The queue's column is an export of them.
     The large inputs are cut down to the tables that lack the fact in question
     before anything is aggregated.
     """
@@ -48,8 +50,10 @@ def preprocess_plan(
     pairs = enrich.readers(lineage.join(unread, "source_name", "left_semi"), names)
     # Distinct pairs are a small part of the lineage, and are gone through three times.
     pairs = pin(pairs.withColumnRenamed("source_name", "table_name"), "readers")
-    folded, surplus = enrich.fold_sets(pairs, ["table_name"], "downstream_user", "downstream_users")
-    return lifecycle.preprocess_step(due, catalog, metadata, owners, folded, names), surplus
+    folded = enrich.fold_sets(pairs, ["table_name"], "downstream_user", "downstream_users")
+    named = fresh.select("task_id", qualified("/").alias("table_name"))
+    of_jobs = named.join(pairs, "table_name").select("task_id", "downstream_user")
+    return lifecycle.preprocess_step(due, catalog, metadata, owners, folded, names), of_jobs
 
 
 def migrate_plan(
@@ -94,13 +98,17 @@ def notify_plan(
     empty: DataFrame,
     as_of,
     names: v.Naming = v.DEFAULT,
-    surplus_readers: DataFrame | None = None,
+    readers: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(changed jobs, outbox rows) of one notification run."""
+    """(changed jobs, outbox rows) of one notification run.
+
+    ``readers``(task_id, downstream_user) are the stored pairs; without them they
+    are taken from the queue's column.
+    """
     due = selectors.select_notify(jobs)
     # The mails and the stamps must come from the same rows, and both are read
     # several times.
     gated = pin(outbox.notify_gate(due, catalog, empty, as_of, names), "notify")
-    mails = outbox.render_outbox(gated, as_of, names, surplus_readers)
+    mails = outbox.render_outbox(gated, as_of, names, readers)
     return gated.drop("due_level", "send_mail"), mails
 

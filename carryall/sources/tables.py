@@ -195,6 +195,16 @@ def _in_catalog(name: str) -> str:
     return ".".join(re.findall(r"`[^`]*`|[^.`]+", name)[-2:])
 
 
+def run_drops(spark: SparkSession, plan: DataFrame, spell=None) -> int:
+    """Drops the tables of a drop plan, one after the other; those gone already are passed over."""
+    spell = spell or dotted
+    done = 0
+    for row in plan.select(*KEY).toLocalIterator():
+        spark.sql(f"DROP TABLE IF EXISTS {spell(*row)}")
+        done += 1
+    return done
+
+
 def run_renames(spark: SparkSession, plan: DataFrame, spell=None) -> int:
     """Carries out a rename plan on the session's tables; gives the number of renames.
 

@@ -74,6 +74,8 @@ DEFAULT_PROBATION_GAP_DAYS = 0
 
 # Fixed value: most addresses one mail may carry.
 RECIPIENTS_PER_MAIL = 50
+# Tables listed in one owner digest.
+TABLES_PER_MAIL = 1000
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ class Naming:
     source_marker: str = "hive"
     target_marker: str = "iceberg"
     # Databases whose tables are always rewritten, never snapshotted.
-    rewrite_db_prefixes: tuple[str, ...] = ("ae_",)
+    rewrite_db_prefixes: tuple[str, ...] = ()
     lock_tag: str = "migration_do_not_modify"
     no_rename_tag: str = "do_not_rename"
     no_drop_tag: str = "do_not_drop"

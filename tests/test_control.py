@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import itertools
 
 from pyspark.sql import functions as F
@@ -126,8 +128,10 @@ def test_wildcards_in_names_are_plain_letters(spark):
     edits, _ = cat.promote(queue, start)
     assert names(cat.apply_edits(start, edits)) == ["a_bXsource", "a_b_source", "axb_source"]
     aex = jobs(spark, job(1, db_name="aex1"), job(2, db_name="ae_1")).withColumn("is_empty", F.lit(False))
-    got = {r.task_id: r.strategy for r in lifecycle.copy_strategy(aex, start).collect()}
+    own = replace(v.DEFAULT, rewrite_db_prefixes=("ae_",))
+    got = {r.task_id: r.strategy for r in lifecycle.copy_strategy(aex, start, names=own).collect()}
     assert got == {1: "SNAPSHOT", 2: "REWRITE"}
+    assert {r.strategy for r in lifecycle.copy_strategy(aex, start).collect()} == {"SNAPSHOT"}
 
 
 def test_mail_bounds_are_inclusive(spark):
@@ -173,15 +177,23 @@ def test_a_long_digest_goes_on_in_parts(spark):
     assert sorted(t for r in parts for t in r.tables) == [f"cat.db.t{i}" for i in range(1, 8)]
 
 
-def test_surplus_readers_are_mailed_after_the_row_s_own(spark):
-    gated = _announced(spark, 1, downstream_users=[f"r{i}@example.com" for i in range(60)])
-    more = [f"s{i}@example.com" for i in range(70)] + ["o@example.com", "table_scanner@example.com", "nobody"]
-    surplus = spark.createDataFrame([(1, u) for u in more], "task_id bigint, downstream_user string")
-    mails = outbox.render_outbox(gated, AS_OF, surplus_readers=surplus).filter("audience = 'readers'")
-    got = {r.batch: len(r.recipients) for r in mails.collect()}
-    assert got == {0: 50, 1: 10, 2: 50, 3: 20}
-    everyone = sorted(u for r in mails.collect() for u in r.recipients)
-    assert everyone == sorted([f"r{i}@example.com" for i in range(60)] + [f"s{i}@example.com" for i in range(70)])
+def test_stored_readers_are_mailed_however_many(spark):
+    gated = _announced(spark, 1)
+    people = [f"r{i}@example.com" for i in range(10_130)]
+    more = ["o@example.com", "table_scanner@example.com", "nobody"]
+    readers = spark.createDataFrame([(1, u) for u in people + more], "task_id bigint, downstream_user string")
+    mails = outbox.render_outbox(gated, AS_OF, readers=readers).filter("audience = 'readers'").collect()
+    assert sorted(r.batch for r in mails) == list(range(203))
+    assert sorted(len(r.recipients) for r in mails) == [30] + [50] * 202
+    assert sorted(u for r in mails for u in r.recipients) == sorted(people)
+
+
+def test_readers_of_the_queue_are_grouped_like_stored_ones(spark):
+    people = [f"r{i}@example.com" for i in range(60)]
+    gated = _announced(spark, 1, downstream_users=people)
+    readers = spark.createDataFrame([(1, u) for u in people], "task_id bigint, downstream_user string")
+    listed = lambda df: sorted((r.batch, r.recipients) for r in df.filter("audience = 'readers'").collect())
+    assert listed(outbox.render_outbox(gated, AS_OF)) == listed(outbox.render_outbox(_announced(spark, 1), AS_OF, readers=readers))
 
 
 def test_html_order(spark):

@@ -66,9 +66,11 @@ class World:
 
     def edit(self, edits, physical=True):
         plan = self.keep(cat.rename_plan(edits, self.catalog), "plan")
+        drops = self.keep(cat.drop_plan(edits, self.catalog), "drops")
         changed = cat.apply_edits(self.catalog, edits)
         self.set_catalog(changed)
         if physical:
+            tables.run_drops(self.spark, drops)
             tables.run_renames(self.spark, plan)
 
     def states(self):
@@ -100,10 +102,11 @@ class World:
             [(f, "read", u) for f in full for u in ("ann", "ann@example.com", "bob", "owner")],
             "source_name string, operation string, user_id string",
         )
-        changed, surplus = runs.preprocess_plan(
+        changed, readers = runs.preprocess_plan(
             self.jobs, self.catalog, no_meta, contacts, daily, events, lineage, at, 20240229
         )
-        assert surplus.count() == 0
+        folded = changed.select("task_id", F.explode("downstream_users").alias("downstream_user"))
+        assert readers.exceptAll(folded).count() == 0
         self.put(changed, at)
 
     def notify(self, at):

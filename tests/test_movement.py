@@ -97,8 +97,8 @@ def test_mirror_with_null_partitions_duplicates_and_maps(spark):
     assert (again.rewritten, again.dropped) == (0, 0)
 
 
-def test_mirror_of_many_partitions_uses_the_join(spark, monkeypatch):
-    monkeypatch.setattr(movement, "_NAMED_PARTITIONS", 3)
+def test_mirror_of_many_partitions_takes_several_scans(spark, monkeypatch):
+    monkeypatch.setattr(movement, "_KEYS_PER_SCAN", 3)
     src = spark.range(60).selectExpr("id", "concat('v', id) v", "case when id % 7 <> 0 then id % 10 end p")
     dst = src.withColumn("v", F.when(F.col("p") % 2 == 0, F.lit("stale")).otherwise(F.col("v"))).filter(
         "p is not null"
@@ -265,6 +265,55 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_filter_on_named_partitions_prunes_the_scan(spark):
     table = make_table(spark.range(40).selectExpr("id", "id % 4 p"), "t", ["p"])
     wanted = spark.createDataFrame([(1,)], "p bigint")
-    plan = movement._only_partitions(spark.table(table), wanted, ["p"], 1)
+    plan = movement._only_partitions(spark.table(table), wanted, ["p"])
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(p" in text and "DataFilters: []" in text
+    assert "PartitionFilters: []" not in text and "DataFilters: []" in text
+    read = movement._only_partitions(spark.table(table), wanted, ["p"]).select("_metadata.file_path")
+    assert all("/p=1/" in r[0] for r in read.distinct().collect()) and read.count() == 10
+
+
+def test_scans_stay_pruned_for_any_number_of_partitions(spark):
+    src = make_table(spark.range(1200).selectExpr("id", "id % 600 p"), "src", ["p"])
+    wanted = spark.range(450).selectExpr("id p")
+    found = movement._only_partitions(spark.table(src), wanted, ["p"])
+    folders = {r[0].rsplit("/", 2)[1] for r in found.select("_metadata.file_path").distinct().collect()}
+    assert found.count() == 900 and folders == {f"p={k}" for k in range(450)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "DataFilters: []" in plan
+
+
+def test_snapshot_follows_the_catalogue_not_the_folders(spark):
+    src = make_table(spark.range(100).selectExpr("id", "concat('a b%', id % 3) p"), "src", ["p"])
+    elsewhere = fresh_path(spark, "elsewhere")
+    spark.range(7).write.parquet(elsewhere)
+    spark.sql(f"ALTER TABLE {src} ADD PARTITION (p = 'far') LOCATION '{elsewhere}'")
+    dst = fresh_name("snap")
+    manifest = movement.snapshot_table(spark, src, dst)
+    assert spark.table(dst).count() == 107 == manifest.agg({"record_count": "sum"}).first()[0]
+    assert movement.changed_partitions(spark.table(src), spark.table(dst), ["p"]).count() == 0
+
+
+def test_a_swap_back_drops_what_is_in_the_way(spark):
+    from carryall.operators import catalog as cat
+    from carryall.schemas import KEY
+    from carryall.sources.tables import run_drops, run_renames
+
+    old = "t_" + fresh_name("swap")
+    for suffix, n in (("", 1), ("_source_archived", 2), ("_target_archived", 3)):
+        spark.range(n).write.saveAsTable(f"default.{old}{suffix}")
+
+    def entry(suffix, kind, tags):
+        return ("spark_catalog", "default", old + suffix, kind, tags)
+
+    columns = "catalog_name string, db_name string, tbl_name string, table_type string, tags array<string>"
+    rows = [entry("", "ICEBERG", ["x"]), entry("_source_archived", "EXTERNAL", ["do_not_rename"]), entry("_target_archived", "ICEBERG", ["do_not_drop"])]
+    fleet = spark.createDataFrame(rows, columns).selectExpr("*", "cast(null as string) serde_uri", "cast(null as boolean) secure")
+    job = spark.createDataFrame([("spark_catalog", "default", old)], ", ".join(f"{k} string" for k in KEY))
+    edits, _ = cat.swap_back_finalized(job, fleet)
+    drops = cat.drop_plan(edits, fleet).collect()
+    assert [(r.tbl_name, r.held_tags) for r in drops] == [(f"{old}_target_archived", ["do_not_drop"])]
+    for _ in range(2):  # dropping again is no error
+        assert run_drops(spark, cat.drop_plan(edits, fleet)) == 1
+    assert run_renames(spark, cat.rename_plan(edits, fleet)) == 2
+    assert spark.table(f"default.{old}").count() == 2
+    assert spark.table(f"default.{old}_target_archived").count() == 1
