@@ -8,8 +8,7 @@ are put together. Texts in which a cut would not be safe are encoded whole.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import struct
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -20,6 +19,8 @@ _REMEMBERED = 600_000
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|[ \n][ \n]|^[ \n]|[ \n]$")
 # A word of letters with the marks that often end one.
 _PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([,.;:!?]*)")
+# Before the first piece of a text that is cut; such texts hold no carriage return.
+_START = "\r"
 _CONTROL = re.compile("[\x1c-\x1f]")
 
 
@@ -39,8 +40,16 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in prints} | {b: 256 + k for k, b in enumerate(others)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
-    """Ids of texts as bytes: unsigned 32-bit numbers, little-endian."""
+    """Ids of texts as bytes: unsigned 32-bit numbers, little-endian.
+
+    known, older: ids of pieces. For byte-level ids a piece follows a space, unless it
+    starts with its line feed or with the mark of a text's start.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -51,57 +60,64 @@ class Encoder:
         self.lowers = self.tokenizer.normalizer is not None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.fixed: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > _REMEMBERED:
             self.known, self.older = {}, self.known
         model, letters, known, older = self.tokenizer.model, self.letters, self.known, self.older
         others = []
-        for p in pieces:
-            if p in known:
-                continue
+        for p in pieces.difference(known):
             if p in older:
                 known[p] = older[p]
                 continue
-            plain = _PLAIN.fullmatch(p)
+            written = self._written(p)
+            plain = _PLAIN.fullmatch(written)
             if plain is None or not plain[2].isalpha() or not (p.isascii() or max(p) <= "\xff"):
                 others.append(p)
                 continue
             # Line feed, letters and marks are pre-tokens of their own; letters up to
             # U+00FF are composed already and lower-cased one by one.
             lead, core, marks = plain.groups()
-            word = core if lead == "\n" else lead + core
+            word = core if self.lowers or lead == " " else _START + core
             ids = known.get(word) or older.get(word)
             if ids is None:
-                text = core.lower() if self.lowers else word
-                found = [t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))]
-                ids = np.array(found, "<u4").tobytes()
+                text = core.lower() if self.lowers else core if lead != " " else lead + core
+                ids = _packed([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))])
                 known[word] = ids
             if lead == "\n" or marks:
                 before = self._fixed("\n") if lead == "\n" else b""
                 known[p] = before + ids + (self._fixed(marks) if marks else b"")
-        for p, ids in zip(others, self._whole(others) if others else []):
+        for p, ids in zip(others, self._whole([self._written(p) for p in others]) if others else []):
             known[p] = ids
 
-    def _fixed(self, piece: str) -> bytes:
-        if piece not in self.known:
-            self.known[piece] = self._whole([piece])[0]
-        return self.known[piece]
+    def _written(self, piece: str) -> str:
+        """A piece as it stands in a text."""
+        if self.lowers or piece[:1] == "\n":
+            return piece
+        return piece[1:] if piece[:1] == _START else " " + piece
+
+    def _fixed(self, text: str) -> bytes:
+        if text not in self.fixed:
+            self.fixed[text] = self._whole([text])[0]
+        return self.fixed[text]
 
     def _cut(self, text: str) -> list[str] | None:
         if self.lowers:
             return None if _CONTROL.search(text) else text.split()
         if _ODD.search(text):
             return None
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            head, *rest = line.split(" ")
-            out.append("\n" + head if k else head)
-            out += [" " + r for r in rest]
+        first, *lines = text.split("\n")
+        out = first.split(" ")
+        out[0] = _START + out[0]
+        for line in lines:
+            more = line.split(" ")
+            more[0] = "\n" + more[0]
+            out += more
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
