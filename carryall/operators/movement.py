@@ -133,18 +133,27 @@ def copy_table(
 # ---------------------------------------------------------------- ledger
 
 
+def _last_commits(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """The greatest (at, snapshot_id) of every key: (keys…, at, snapshot_id).
+
+    Repeated commits are folded first, so that all buffers have a fixed width and
+    both aggregations hash instead of sorting the ledger.
+    """
+    newest = F.max(at)
+    last = F.when(newest.isNull(), F.max("snapshot_id")).otherwise(F.max_by("snapshot_id", at))
+    commits = rows.groupBy(*keys, at).agg(F.max("snapshot_id").alias("snapshot_id"))
+    return commits.groupBy(*keys).agg(newest.alias(at), last.alias("snapshot_id"))
+
+
 def latest_snapshot(ledger: DataFrame) -> DataFrame:
     """Newest snapshot of every table: (table_name, snapshot_id)."""
-    return ledger.groupBy("table_name").agg(
-        F.max_by("snapshot_id", F.struct("committed_at", "snapshot_id")).alias("snapshot_id")
-    )
+    return _last_commits(ledger, ["table_name"], "committed_at").drop("committed_at")
 
 
 def watermarks(mirror_log: DataFrame) -> DataFrame:
     """Last mirrored snapshot of every table: (table_name, watermark)."""
-    return mirror_log.groupBy("table_name").agg(
-        F.max_by("snapshot_id", F.struct("mirrored_at", "snapshot_id")).alias("watermark")
-    )
+    last = _last_commits(mirror_log, ["table_name"], "mirrored_at")
+    return last.select("table_name", F.col("snapshot_id").alias("watermark"))
 
 
 def set_watermarks(tables: DataFrame, ledger: DataFrame, as_of) -> DataFrame:
@@ -189,11 +198,9 @@ def touched_partitions(ledger: DataFrame, marks: DataFrame) -> DataFrame:
     unknown to the ledger has all its partitions listed. Every partition is
     reduced to its last commit before the join.
     """
-    at = F.struct("committed_at", "snapshot_id")
-    last = (
-        ledger.withColumn("__p", F.array_sort(F.map_entries("partition_values")))
-        .groupBy("table_name", "__p")
-        .agg(F.max(at).alias("__last"))
+    by_partition = ledger.withColumn("__p", F.array_sort(F.map_entries("partition_values")))
+    last = _last_commits(by_partition, ["table_name", "__p"], "committed_at").select(
+        "table_name", "__p", F.struct("committed_at", "snapshot_id").alias("__last")
     )
     return (
         last.join(_mark_commits(ledger, marks), "table_name", "left")
@@ -208,14 +215,9 @@ def _mark_commits(ledger: DataFrame, marks: DataFrame) -> DataFrame:
         "table_name", F.col("snapshot_id").cast("bigint").alias("watermark"), "committed_at"
     )
     wanted = marks.select("table_name", F.col("watermark").cast("bigint").alias("watermark"))
-    return (
-        known.join(wanted, ["table_name", "watermark"], "left_semi")
-        .groupBy("table_name")
-        .agg(
-            F.max(
-                F.struct("committed_at", F.col("watermark").alias("snapshot_id"))
-            ).alias("__mark")
-        )
+    marked = known.join(wanted, ["table_name", "watermark"], "left_semi").withColumnRenamed("watermark", "snapshot_id")
+    return _last_commits(marked, ["table_name"], "committed_at").select(
+        "table_name", F.struct("committed_at", "snapshot_id").alias("__mark")
     )
 
 

@@ -317,3 +317,20 @@ def test_a_swap_back_drops_what_is_in_the_way(spark):
     assert run_renames(spark, cat.rename_plan(edits, fleet)) == 2
     assert spark.table(f"default.{old}").count() == 2
     assert spark.table(f"default.{old}_target_archived").count() == 1
+
+
+def test_newest_snapshots_are_hashed_not_sorted(spark):
+    ledger = spark.sql(
+        "SELECT * FROM VALUES ('a', 5L, TIMESTAMP_NTZ '2024-01-02', MAP('d', '1')),"
+        " ('a', 9L, TIMESTAMP_NTZ '2024-01-01', MAP('d', '1')), ('a', 4L, TIMESTAMP_NTZ '2024-01-02', MAP('d', '2')),"
+        " ('b', 1L, NULL, MAP('d', '1')), ('b', 2L, NULL, MAP('d', '1'))"
+        " AS t(table_name, snapshot_id, committed_at, partition_values)"
+    )
+    marks = spark.sql("SELECT 'a' AS table_name, 4L AS watermark")
+    latest = movement.latest_snapshot(ledger)
+    touched = movement.touched_partitions(ledger, marks)
+    assert sorted(map(tuple, latest.collect())) == [("a", 5), ("b", 2)]
+    assert sorted((t, p["d"]) for t, p in touched.collect()) == [("a", "1"), ("b", "1")]
+    for frame in (latest, touched):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
