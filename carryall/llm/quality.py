@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from carryall.llm.subwords import forget
 from carryall.llm.words import BLANK, by_bytes, joined, mix, split
 
 BUCKETS = 1 << 15
@@ -232,6 +233,7 @@ def _scored(docs: DataFrame, machine: FactorisationMachine, metadata) -> DataFra
     n = len(names)
 
     def of(batches):
+        forget()
         for batch in batches:
             for part in by_bytes(batch, "text"):
                 score = shared.value.score(inputs(part.column("text"), _numbers(part, n)))

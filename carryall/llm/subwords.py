@@ -145,3 +145,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Drops what this worker remembers, as it goes on to another operator's tasks."""
+    _ENCODERS.clear()
