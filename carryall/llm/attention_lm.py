@@ -7,8 +7,9 @@ full softmax. One layer of masked self-attention over a window predicts both, ad
 what the last class alone says (its followers counted in training). Windows overlap,
 and every id is scored once, in the window where it has the longest context.
 
-Training windows are drawn from all training texts at one rate. Tasks train on their
-own windows from common weights, which are then averaged, round after round.
+Ids and followers are counted over all training texts, and every round trains on the
+windows of all of them: tasks train on their own windows from common weights, which
+are then averaged.
 
 Beside the model stands a base of word counts over all training texts, exchanged
 between blocks of documents and buckets of words.
@@ -16,6 +17,7 @@ between blocks of documents and buckets of words.
 
 from __future__ import annotations
 
+import copy
 import zlib
 from dataclasses import dataclass
 
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from carryall.llm.blocks import BLOCK_BYTES, count_blocks, in_blocks, parts, runs
 from carryall.llm.subwords import WORD_BPE, encoder, tokenizer_path
-from carryall.llm.words import BLANK, mix, split
+from carryall.llm.words import BLANK, by_bytes, mix, split
 from carryall.sources.tables import pin
 
 GROUPS = 16
@@ -35,12 +37,12 @@ CLASSES = GROUPS * MEMBERS
 SHARED = 32
 DIMENSION = 16
 WINDOW = 16
-OVERLAP = 2
-# One training piece of so many words for every RATE times as many words of a text.
-PIECE_WORDS = 20
-RATE = 8
+# Of a window that begins inside a text: what only gives context to the rest.
+OVERLAP = 8
 ROUNDS = 3
 _BATCH = 48
+# Ids that are counted, or cut into windows and trained on, at a time.
+_IDS = 1 << 20
 # The number that stands for a text's end among the words.
 _END = np.uint64(0x5851F42D4C957F2D)
 
@@ -218,7 +220,9 @@ class AttentionModel:
         de = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
         g["place"] = de.sum(0)
         g["embed"] = np.zeros(self.SHAPES["embed"], np.float32)
-        np.add.at(g["embed"], x.reshape(-1), flat(de))
+        order = np.argsort(x.reshape(-1), kind="stable")
+        used, starts = np.unique(x.reshape(-1)[order], return_index=True)
+        g["embed"][used] = np.add.reduceat(flat(de)[order], starts)
         return g
 
     def train(self, x: np.ndarray, y: np.ndarray, on: np.ndarray, rate: float, seed: int) -> None:
@@ -234,51 +238,49 @@ class AttentionModel:
                 self.w[k] -= np.float32(rate) * (one[k] / (1 - 0.9**step)) / (np.sqrt(two[k] / (1 - 0.99**step)) + np.float32(1e-6))
 
 
-def _pieces(text: str, seed: int) -> list[tuple[bool, str, bool]]:
-    """(begins the text, words, ends the text): pieces at random places of the whole text."""
-    words = text.split()
-    rng = np.random.default_rng(seed)
-    n = max(1, -(-len(words) // PIECE_WORDS))
-    # Every piece of the text is as likely; a short text has one at that rate.
-    chosen = np.flatnonzero(rng.random(n) < 1 / RATE)
-    return [(k == 0, " ".join(words[k * PIECE_WORDS : (k + 1) * PIECE_WORDS]), k == n - 1) for k in chosen.tolist()]
-
-
-def _training_windows(docs: DataFrame, path: str) -> DataFrame:
-    """(ids): ids of a piece; -1 before the first if it begins a text."""
+def _training_ids(docs: DataFrame, path: str) -> DataFrame:
+    """(ids): of each training text, -1 before its first id, all its ids and its end."""
 
     def of(batches):
         enc = encoder(path)
-        end = np.int32(enc.tokenizer.get_vocab_size())
+        end = np.array([enc.tokenizer.get_vocab_size()], np.int32)
+        begin = np.array([-1], np.int32)
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if _trains(doc_id):
-                    text = text.as_py() or ""
-                    for first, words, last in _pieces(text, zlib.crc32(f"{doc_id}".encode())):
-                        ids = np.frombuffer(enc.encode([words])[0], "<i4")
-                        out.append(np.concatenate(([-1] if first else [], ids, [end] if last else [])).astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+            for part in by_bytes(batch, "text"):
+                texts = [t.as_py() or "" for i, t in zip(part.column(0).to_pylist(), part.column(1)) if _trains(i)]
+                out = [np.concatenate((begin, np.frombuffer(ids, "<i4"), end)).tobytes() for ids in enc.encode(texts)]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(of, "ids binary")
 
 
-def _summed(keys: np.ndarray) -> pa.RecordBatch:
-    k, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))], ["k", "n"])
+def _read_ids(batches):
+    """Lists of id sequences, of about _IDS ids together; a longer text is a list of its own."""
+    found, size = [], 0
+    for batch in batches:
+        for body in batch.column(0):
+            ids = np.frombuffer(body.as_buffer(), np.int32)
+            if found and size + len(ids) > _IDS:
+                yield found
+                found, size = [], 0
+            found.append(ids)
+            size += len(ids)
+    if found:
+        yield found
 
 
-def _counted(windows: DataFrame, keys_of, size: int) -> np.ndarray:
-    """How often each number below `size` comes up over all windows; keys_of: numbers of a list of id arrays."""
+def _counted(ids: DataFrame, keys_of, size: int) -> np.ndarray:
+    """How often each number below `size` comes up over all texts; keys_of: numbers of a list of id arrays."""
 
     def of(batches):
-        for batch in batches:
-            found = [np.frombuffer(x, np.int32) for x in batch.column(0).to_pylist()]
-            if found:
-                yield _summed(keys_of(found))
+        total = np.zeros(size, np.int64)
+        for found in _read_ids(batches):
+            total += np.bincount(keys_of(found), minlength=size)
+        k = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(total[k])], ["k", "n"])
 
-    table = windows.mapInArrow(of, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    table = ids.mapInArrow(of, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size)
     out[table["k"].to_numpy()] = table["n"].to_numpy()
     return out
@@ -294,42 +296,52 @@ def _in_windows(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.n
     return x, y, on
 
 
+def _classed(ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return np.where(ids < 0, CLASSES, classes[ids])
+
+
+def _cut(classes: list[np.ndarray]):
+    """Windows of whole texts, each id a target once, in lists of about _IDS ids."""
+    windows = [c[a : a + WINDOW + 1] for c in classes for a in range(0, len(c) - 1, WINDOW)]
+    for a in range(0, len(windows), _IDS // WINDOW):
+        yield windows[a : a + _IDS // WINDOW]
+
+
+def _fitted(ids: DataFrame, classes, start, r: int) -> DataFrame:
+    """(k, value, weight): weights after a round, as each task has them, and its windows; classes, start: broadcast."""
+
+    def fit(batches):
+        # A worker keeps the broadcast model for its next task, which starts from the same weights.
+        mine = copy.deepcopy(start.value)
+        n = 0
+        for found in _read_ids(batches):
+            for windows in _cut([_classed(x, classes.value) for x in found]):
+                mine.train(*_in_windows(windows), rate=0.01 / (1 + r), seed=r)
+                n += len(windows)
+        if n:
+            flat = mine.flat().astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), float(n)))], ["k", "value", "weight"])
+
+    return ids.mapInArrow(fit, "k int, value double, weight double")
+
+
 def train(docs: DataFrame, tokenizer: str = WORD_BPE, rounds: int = ROUNDS) -> tuple[Vocabulary, AttentionModel]:
     path = tokenizer_path(tokenizer)
     sc = docs.sparkSession.sparkContext
-    windows = pin(_training_windows(docs, path), "windows")
+    ids = pin(_training_ids(docs, path), "ids")
     end = encoder(path).tokenizer.get_vocab_size()
-    vocabulary = Vocabulary.of(_counted(windows, lambda found: (x := np.concatenate(found))[x >= 0], end + 1))
+    vocabulary = Vocabulary.of(_counted(ids, lambda found: (x := np.concatenate(found))[x >= 0], end + 1))
     shared = sc.broadcast(vocabulary.classes)
-    classed = lambda ids: np.where(ids < 0, CLASSES, shared.value[ids])
 
     def pairs(found):
-        found = [classed(x) for x in found]
+        found = [_classed(x, shared.value) for x in found]
         return np.concatenate([c[:-1] * np.int64(CLASSES) + c[1:] for c in found])
 
-    counts = _counted(windows, pairs, (CLASSES + 1) * CLASSES).reshape(CLASSES + 1, CLASSES)
+    counts = _counted(ids, pairs, (CLASSES + 1) * CLASSES).reshape(CLASSES + 1, CLASSES)
     model = AttentionModel(counts)
-    schema = "k int, value double, weight double"
+    mean = (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")
     for r in range(rounds):
-        start = sc.broadcast(model)
-
-        def fit(batches, r=r, start=start):
-            mine = start.value
-            n = 0
-            for batch in batches:
-                found = [classed(np.frombuffer(x, np.int32)) for x in batch.column(0).to_pylist()]
-                found = [c[a : a + WINDOW + 1] for c in found for a in range(0, len(c) - 1, WINDOW)]
-                if found:
-                    mine.train(*_in_windows(found), rate=0.01 / (1 + r), seed=r)
-                    n += len(found)
-            if n:
-                flat = mine.flat().astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), float(n)))], ["k", "value", "weight"])
-
-        mean = (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")
-        # A round has its own share of the windows, so that each is trained on once.
-        share = windows.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == r)
-        got = share.mapInArrow(fit, schema).groupBy("k").agg(mean).toArrow().sort_by("k")
+        got = _fitted(ids, shared, sc.broadcast(model), r).groupBy("k").agg(mean).toArrow().sort_by("k")
         if got.num_rows:
             model.load(got["value"].to_numpy())
     return vocabulary, model

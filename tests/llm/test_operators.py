@@ -470,6 +470,38 @@ def test_every_id_is_scored_once():
     assert np.allclose(got, want, atol=1e-3)
 
 
+def test_model_learns_from_all_training_texts(spark, given, monkeypatch):
+    """Ids and followers are those of whole texts, and every round sees every one of them."""
+    few = spark.createDataFrame([(k, f"word{k}") for k in range(200)] + [(None, "nobody")], "doc_id long, text string")
+    for df in (given, few):
+        trained = [slow_ids(packing.WORD_BPE, t) for i, t in texts(df) if attention_lm._trains(i)]
+        end = encoder(tokenizer_path(packing.WORD_BPE)).tokenizer.get_vocab_size()
+        seen = []
+        of, start = attention_lm.Vocabulary.of, attention_lm.AttentionModel.__init__
+        monkeypatch.setattr(attention_lm.Vocabulary, "of", lambda c: seen.append(c.copy()) or of(c))
+        monkeypatch.setattr(attention_lm.AttentionModel, "__init__", lambda self, c, *a: seen.append(c.copy()) or start(self, c, *a))
+        vocabulary, _ = attention_lm.train(df, rounds=0)
+        monkeypatch.undo()
+        want, follow = np.zeros(end + 1), np.zeros((attention_lm.CLASSES + 1, attention_lm.CLASSES))
+        for x in trained:
+            np.add.at(want, [*x, end], 1)
+            c = vocabulary.classes[[*x, end]]
+            np.add.at(follow, (np.concatenate(([attention_lm.CLASSES], c[:-1])), c), 1)
+        assert (seen[0] == want).all() and (seen[1] == follow).all()
+
+
+def test_every_round_trains_on_all_windows(spark):
+    few = spark.createDataFrame([(k, " ".join(f"word{k + j}" for j in range(k % 7 * 20))) for k in range(60)], "doc_id long, text string")
+    sizes = [len(slow_ids(packing.WORD_BPE, t)) + 1 for i, t in texts(few) if attention_lm._trains(i)]
+    ids = attention_lm._training_ids(few, tokenizer_path(packing.WORD_BPE))
+    classes = spark.sparkContext.broadcast(np.zeros(100_000, np.int32))
+    start = attention_lm.AttentionModel(np.zeros((attention_lm.CLASSES + 1, attention_lm.CLASSES)))
+    start = spark.sparkContext.broadcast(start)
+    for r in range(attention_lm.ROUNDS):
+        of_tasks = attention_lm._fitted(ids, classes, start, r).where("k = 0").agg({"weight": "sum"}).first()[0]
+        assert of_tasks == sum(-(-n // attention_lm.WINDOW) for n in sizes)
+
+
 # Contamination.
 
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
