@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from carryall.llm.words import NOT_ALNUM, Words, by_bytes, runs_of_true, split
 from carryall.sources.tables import pin
@@ -156,6 +156,8 @@ def _find(batches, queries: Queries, all_rows: bool):
 
 def _verdicts(batches):
     for batch in batches:
+        key = batch.column("text_key")
+        batch = batch.drop_columns(["text_key"])
         out = []
         for row in batch.to_pylist():
             n, covered, longest, end = row["n_words"], 0, 0, -1
@@ -172,7 +174,7 @@ def _verdicts(batches):
         columns = list(zip(*out)) if out else [[]] * 7
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64()]
         names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)] + [key], [*names, "text_key"])
 
 
 def _query_blocks(benchmark: DataFrame, width: int, limit: int):
@@ -204,12 +206,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, que
     no rows, or no hits. Benchmarks of any size are searched for in blocks of
     `query_bytes`, which are all that is ever broadcast.
     """
+    return _judged(docs, benchmark, width, query_bytes, F.xxhash64("text")).drop("text_key")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, width: int, query_bytes: int, text_key: Column) -> DataFrame:
+    """The columns of `contamination`, and text_key: what tells the texts of repeated doc_ids apart, not null."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        F.xxhash64("text").alias("text_key"),
+        text_key.alias("text_key"),
     )
-    schema = "doc_id long, text_key long, n_words long, firsts array<int>, widths array<int>, items array<long>"
+    kind = rows.schema["text_key"].dataType.simpleString().replace("bigint", "long")
+    schema = f"doc_id long, text_key {kind}, n_words long, firsts array<int>, widths array<int>, items array<long>"
     sc = docs.sparkSession.sparkContext
     found = None
     for k, block in enumerate(_query_blocks(benchmark, width, query_bytes)):
@@ -227,11 +235,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, que
             .select("doc_id", "text_key", "n_words", "firsts", "widths", "items")
         )
     kinds = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
+    kinds += f", text_key {kind}"
     return found.mapInArrow(_verdicts, kinds)
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents that are not contaminated; a row without doc_id is judged as well."""
-    bad = contamination(docs, benchmark, width).where("contaminated").select(F.xxhash64("doc_id").alias("k"), "doc_id").distinct()
-    same = (F.xxhash64(F.col("docs.doc_id").cast("long")) == F.col("bad.k")) & F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id"))
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, query_bytes: int = QUERY_BYTES) -> DataFrame:
+    """The documents that are not contaminated, each row judged by its own text.
+
+    A row without doc_id is judged as well, and so is each of the rows of a repeated
+    doc_id: clean ones stay. Texts are told apart by their SHA-256.
+    """
+    # A null text and an empty one have the same verdict.
+    key = lambda text: F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+    bad = _judged(docs, benchmark, width, query_bytes, key(F.col("text"))).where("contaminated").select("doc_id", "text_key").distinct()
+    same = (key(F.col("docs.text")) == F.col("bad.text_key")) & F.col("docs.doc_id").cast("long").eqNullSafe(F.col("bad.doc_id"))
     return docs.alias("docs").join(bad.alias("bad"), same, "left_anti")

@@ -541,6 +541,18 @@ def test_contamination(spark, given, odd, none):
     assert decontaminate.contamination(none, more).count() == 0
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_own_texts(spark):
+    bench = spark.createDataFrame([(1, PASSAGE), (2, "a short item")], "item_id long, text string")
+    bad, clean = f"x {PASSAGE}", "nothing of that kind"
+    rows = [(None, bad, 1), (None, bad, 2), (None, clean, 3), (None, clean, 4), (None, None, 5), (None, "", 6), (5, bad, 7), (5, clean, 8), (5, None, 9), (6, bad, 10), (7, clean, 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int")
+    for query_bytes in (1 << 23, 5):
+        kept = decontaminate.without_contaminated(docs, bench, query_bytes=query_bytes)
+        assert kept.dtypes == docs.dtypes
+        assert sorted(r["a.b"] for r in kept.collect()) == [3, 4, 5, 6, 8, 9, 11]
+    assert sorted(r["a.b"] for r in decontaminate.without_contaminated(docs.selectExpr("cast(doc_id AS string) doc_id", "text", "`a.b`"), bench).collect()) == [3, 4, 5, 6, 8, 9, 11]
+
+
 # The pipeline.
 
 
