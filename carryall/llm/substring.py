@@ -253,7 +253,7 @@ def repeated_words(docs: DataFrame, width: int = WIDTH, carry: bool = False, blo
 
     A null or empty text has no words. A row without doc_id neither removes words nor
     loses any. Rows with one doc_id do not remove each other's words. Edges are told
-    apart by 96 bits. An empty table gives none.
+    apart by 64 bits inside a block and by 96 between blocks. An empty table gives none.
     """
     n = count_blocks(docs, block_bytes)
     blocked = in_blocks(docs, n, carry)
