@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carryall.llm import attention_lm, decontaminate, embeddings, hilbert, language, packing, quality, simhash, substring, token_store
+from carryall.llm import (
+    attention_lm,
+    decontaminate,
+    embeddings,
+    hilbert,
+    language,
+    packing,
+    quality,
+    residual_packing,
+    simhash,
+    substring,
+    token_store,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +67,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residual_packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -68,6 +84,7 @@ QUERIES: dict[str, Query] = {
         op8_attention_scores,
         op9_language,
         op10_packing,
+        op11_residual_packing,
     )
 }
 
