@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carryall.llm import (
+    alignment,
     attention_lm,
     decontaminate,
     embeddings,
@@ -71,6 +72,10 @@ def op11_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residual_packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
         op9_language,
         op10_packing,
         op11_residual_packing,
+        op12_token_alignment,
     )
 }
 
