@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from carryall.llm import (
     alignment,
     attention_lm,
+    conversation_repair,
     decontaminate,
     embeddings,
     hilbert,
@@ -76,6 +77,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_after_damage(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
         op10_packing,
         op11_residual_packing,
         op12_token_alignment,
+        op13_conversation_repair,
     )
 }
 
