@@ -292,10 +292,11 @@ def _(spark, sf):
 
 
 _DEFINED = """data_size, owner_user_id, secure, migrated_data_location, array_to_string(tags, ',') tags"""
-_SOURCES = f"""sources as (select catalog_name, db_name, substr(tbl_name, 1, length(tbl_name) - 7) tbl_name,
+_SOURCES = f"""kept as (select catalog_name c, db_name d, tbl_name t,
  data_size s_size, owner_user_id s_owner, secure s_secure, coalesce(migrated_data_location, data_uri) s_location,
- list_sort(list_distinct(list_concat(coalesce(tags, []), ['migrated_from_source']))) s_tags
- from fleet where tbl_name like '%\\_source' escape '\\')"""
+ list_sort(list_distinct(list_concat(coalesce(tags, []), ['migrated_from_source']))) s_tags from fleet),
+sources as (select j.catalog_name, j.db_name, j.tbl_name, s_size, s_owner, s_secure, s_location, s_tags
+ from jobs j join kept on c = j.catalog_name and d = j.db_name and t = j.tbl_name || '_source')"""
 
 
 @query(
@@ -343,8 +344,10 @@ def _records(spark, sf):
 
 @query(
     "copy_classification",
-    f"""with {_RECORDS}, kept as (select catalog_name, db_name, substr(tbl_name, 1, length(tbl_name) - 7) tbl_name,
-  true hit, audit k_audit, data_size k_size, dlm_category k_dlm from records where tbl_name like '%\\_source' escape '\\')
+    f"""with {_RECORDS}, sides as (select catalog_name c, db_name d, tbl_name t, audit k_audit, data_size k_size,
+  dlm_category k_dlm from records),
+kept as (select j.catalog_name, j.db_name, j.tbl_name, true hit, k_audit, k_size, k_dlm
+ from jobs j join sides on c = j.catalog_name and d = j.db_name and t = j.tbl_name || '_source')
 select {_KEY_SQL}, id, "location", source_link, case when hit then k_audit else audit end audit,
  case when hit then k_size else data_size end data_size, case when hit then k_dlm else dlm_category end dlm_category
 from records left join kept using ({_KEY_SQL})""",

@@ -91,8 +91,9 @@ def _(spark, sf):
 
 _GATE = f"""with empty_tables as ({EMPTY_TABLES}),
 f as (select {_KEY_SQL}, {IS_SOURCE} src from fleet),
-k as (select catalog_name, db_name, substr(tbl_name, 1, length(tbl_name) - 7) tbl_name, true kept
- from fleet where tbl_name like '%\\_source' escape '\\'),
+names as (select distinct catalog_name c, db_name d, tbl_name t from fleet),
+k as (select j.catalog_name, j.db_name, j.tbl_name, true kept from jobs j
+ join names on c = j.catalog_name and d = j.db_name and t = j.tbl_name || '_source'),
 j as (select jobs.*, coalesce(src, false) is_source, src is null and kept is null gone,
  stg_format = 'parquet' or task_id in (select task_id from empty_tables) copyable
  from jobs left join f using ({_KEY_SQL}) left join k using ({_KEY_SQL})),
