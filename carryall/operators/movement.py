@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import contextlib
-from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from carryall import vocabulary as v
 from carryall.functions.fingerprint import PIECE_NAMES, hash_pieces, hashable, row_hash
-from carryall.functions.names import qualified
 from carryall.functions.times import moment
-from carryall.operators.selectors import select_mirror
+from carryall.sources.appends import own_whole, settle
+from carryall.sources.partitions import (
+    add_partitions,
+    drop_partitions,
+    file_manifest,
+    folders,
+    only_partitions,
+    replace_partitions,
+)
 from carryall.sources.tables import (
     SHARED_FILES,
     copy_rows,
-    dotted,
     fresh_path,
     get_property,
     is_managed,
@@ -31,10 +37,6 @@ from carryall.sources.tables import (
 COPY_PROPERTIES = {"migrated-from-source": "true"}
 WATERMARK = "watermark_snapshot_id"
 
-# Partitions named in the filter of one scan; there are as many scans as it takes.
-_KEYS_PER_SCAN = 10_000
-_PARTITIONS_PER_STATEMENT = 100
-
 
 # ---------------------------------------------------------------- copies
 
@@ -44,11 +46,7 @@ def snapshot_manifest(df: DataFrame, parts: list[str]) -> DataFrame:
 
     Reads the partition columns and file footers only.
     """
-    return (
-        df.select(F.col("_metadata.file_path").alias("file_path"), *parts)
-        .groupBy("file_path", *parts)
-        .agg(F.count(F.lit(1)).alias("record_count"))
-    )
+    return file_manifest(df, parts)
 
 
 def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
@@ -56,11 +54,12 @@ def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
 
     Every partition of the source that has files is added where its files are,
     inside the table's folder or not; folders of partitions the source no longer
-    has are not. The target is marked as sharing files, so that it gets files of
-    its own before anything is written to it. Gives the manifest.
+    has are not. A partitioned target has a folder of its own for the partitions that
+    are written to later; the others stay shared, and the target is marked as long as
+    there are any. Gives the manifest.
     """
     parts = partition_columns(spark, src)
-    location = table_location(spark, src)
+    location = fresh_path(spark, "own") if parts else table_location(spark, src)
     spark.sql(f"DROP TABLE IF EXISTS {dst}")
     by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
     spark.sql(
@@ -68,29 +67,11 @@ def snapshot_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
         f"LOCATION '{location}' TBLPROPERTIES ({property_list({SHARED_FILES: src})})"
     )
     if parts:
-        _add_partitions(spark, src, dst, parts)
+        add_partitions(spark, dst, folders(snapshot_manifest(spark.table(src), parts), parts), parts)
+        spark.catalog.refreshTable(dst)
     return snapshot_manifest(spark.table(dst), parts)
 
 
-def _add_partitions(spark: SparkSession, src: str, dst: str, parts: list[str]) -> None:
-    """Adds the source's partitions to ``dst``, some per statement; names only come to the driver."""
-    folder = F.regexp_replace("file_path", "/[^/]+$", "")
-    placed = snapshot_manifest(spark.table(src), parts).select(*parts, folder.alias("__folder")).distinct()
-    specs: list[str] = []
-
-    def flush() -> None:
-        if specs:
-            spark.sql(f"ALTER TABLE {dst} ADD " + " ".join(specs))
-            specs.clear()
-
-    for row in placed.toLocalIterator():
-        named = ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts)
-        specs.append(f"PARTITION ({named}) LOCATION {_sql_literal(unquote(row['__folder']))}")
-        if len(specs) == _PARTITIONS_PER_STATEMENT:
-            flush()
-    flush()
-
-
 def rewrite_copy(
     spark: SparkSession,
     src: str,
@@ -100,7 +81,8 @@ def rewrite_copy(
 ) -> DataFrame:
     """Creates ``dst`` with the schema and partitioning of ``src`` and copies all rows.
 
-    An existing target is dropped first. External targets need a new folder.
+    An existing target is replaced once the copy is complete. External targets need a
+    new folder.
     """
     copy_rows(spark, src, dst, provider, location, COPY_PROPERTIES)
     return spark.table(dst)
@@ -123,13 +105,21 @@ def copy_table(
             rows = snapshot_manifest(spark.table(src), partition_columns(spark, src)).agg(total).first()[0]
             if copied == rows:
                 return "SNAPSHOT"
-        except Exception as problem:  # noqa: BLE001
-            if "not a Parquet file" not in str(problem) and "CANNOT_READ_FILE" not in str(problem):
+        except (PySparkException, Py4JJavaError) as problem:
+            if not _is_foreign_file(problem):
                 raise
     rewrite_copy(spark, src, dst, location=location)
     return "REWRITE"
 
 
+def _is_foreign_file(problem: Exception) -> bool:
+    """Did Spark find a file that is not Parquet?"""
+    condition = problem.getCondition() if isinstance(problem, PySparkException) else None
+    if condition is not None:
+        return condition.startswith(("FAILED_READ_FILE", "CANNOT_READ_FILE"))
+    return "not a Parquet file" in str(problem)
+
+
 # ---------------------------------------------------------------- ledger
 
 
@@ -203,13 +193,13 @@ def touched_partitions(ledger: DataFrame, marks: DataFrame) -> DataFrame:
         "table_name", "__p", F.struct("committed_at", "snapshot_id").alias("__last")
     )
     return (
-        last.join(_mark_commits(ledger, marks), "table_name", "left")
+        last.join(mark_commits(ledger, marks), "table_name", "left")
         .filter(F.col("__mark").isNull() | (F.col("__last") > F.col("__mark")))
         .select("table_name", F.map_from_entries("__p").alias("partition_values"))
     )
 
 
-def _mark_commits(ledger: DataFrame, marks: DataFrame) -> DataFrame:
+def mark_commits(ledger: DataFrame, marks: DataFrame) -> DataFrame:
     """Commit position of each watermark: (table_name, __mark)."""
     known = ledger.select(
         "table_name", F.col("snapshot_id").cast("bigint").alias("watermark"), "committed_at"
@@ -333,8 +323,8 @@ def _ledger_changes(
     )
     part_cols = [F.col(f"`{p}`") for p in parts]
     both = _sides(
-        _only_partitions(src, listed, parts),
-        _only_partitions(dst, listed, parts),
+        only_partitions(src, listed, parts),
+        only_partitions(dst, listed, parts),
         *part_cols,
     )
     return (
@@ -371,14 +361,11 @@ def mirror_updates(
     taken; without (or with ``verify``) both tables are fingerprinted. Partitions
     gone from the source are dropped. Gives the mirror-log row to append:
     (table_name, snapshot_id, mirrored_at, rewritten, dropped), the latter two in
-    partitions (-1 for a table rewritten whole); its snapshot is the newest one at
-    the start, so what is written meanwhile is found next time. Running it again
-    changes nothing.
+    partitions; its snapshot is the newest one at the start, so what is written
+    meanwhile is found next time. Running it again changes nothing.
     """
     name = ledger_name or src
-    pinned = None
-    known = False
-    own = None
+    pinned, touched = None, None
     if ledger is not None:
         # Pinned before the first read of the source.
         own = ledger.filter(F.col("table_name") == name)
@@ -389,42 +376,74 @@ def mirror_updates(
         )
         if known and pinned == watermark and not verify:
             return _log_row(spark, name, pinned, mirrored_at, 0, 0)
+        if known:
+            marks = spark.createDataFrame([Row(table_name=name, watermark=int(watermark))])
+            touched = touched_partitions(own, marks).select("partition_values")
+    rewritten, dropped = bring_up(spark, src, dst, None if verify else touched)
+    return _log_row(spark, name, pinned, mirrored_at, rewritten, dropped)
 
+
+def bring_up(spark: SparkSession, src: str, dst: str, touched: DataFrame | None) -> tuple[int, int]:
+    """Makes ``dst`` equal to ``src``; gives the partitions rewritten and dropped.
+
+    touched(partition_values) holds the partitions that can differ; without it the
+    tables are compared. Changed partitions are written once, beside the old files, and
+    then the target's names are pointed to them: until then, and if anything fails, the
+    target is what it was. A target that shares files keeps sharing those of unchanged
+    partitions. Managed targets, whose files move with their name, are overwritten in
+    place, a partition at a time.
+    """
     parts = partition_columns(spark, dst)
     if table_location(spark, src) == table_location(spark, dst):
         # A snapshot nobody has written to since: both names stand for one set of files.
-        return _log_row(spark, name, pinned, mirrored_at, 0, 0)
-    if get_property(spark, dst, SHARED_FILES) is not None:
-        # Writing in place would write into the source's own files.
-        rewrite_copy(spark, src, dst, location=fresh_path(spark, "own"))
-        return _log_row(spark, name, pinned, mirrored_at, -1, 0)
+        return 0, 0
     # Whatever was listed or cached before must not hide newer commits.
     spark.catalog.refreshTable(src)
     spark.catalog.refreshTable(dst)
     here, there = spark.table(src), spark.table(dst)
     if not parts:
-        return _mirror_whole(spark, src, dst, name, pinned, mirrored_at, verify or not known)
-
-    if known and not verify:
-        marks = spark.createDataFrame([Row(table_name=name, watermark=int(watermark))])
-        changes = _ledger_changes(here, there, parts, touched_partitions(own, marks))
+        return _mirror_whole(spark, src, dst, touched is None), 0
+    if touched is not None:
+        changes = _ledger_changes(here, there, parts, touched)
     else:
+        if get_property(spark, dst, SHARED_FILES) is not None:
+            # Where both tables stand on the same files there is nothing to compare.
+            differing = _differing_files(here, there, parts)
+            here, there = only_partitions(here, differing, parts), only_partitions(there, differing, parts)
         changes = changed_partitions(here.select(*there.columns), there, parts)
     changes = pin(changes, "changed")
 
-    wanted = changes.filter("kind <> 'removed'").select(*parts)
-    gone = changes.filter("kind = 'removed'").select(*parts)
+    wanted = changes.filter("kind <> 'removed'")
     rewritten = wanted.count()
     if rewritten:
-        fresh = _only_partitions(here, wanted, parts).select(*there.columns)
-        if partition_columns(spark, src) != parts:
-            # Else each scan task reads files of one partition: nothing to shuffle.
-            fresh = spread(fresh, parts)
-        with _overwriting_touched_only(spark):
-            fresh.write.insertInto(dst, overwrite=True)
-    dropped = _drop_partitions(spark, dst, gone, parts)
+        fresh = only_partitions(spark.table(src), wanted.select(*parts), parts).select(*there.columns)
+        # Else each scan task reads files of one partition: nothing to shuffle.
+        shuffle = partition_columns(spark, src) != parts
+        if is_managed(spark, dst):
+            with _overwriting_touched_only(spark):
+                (spread(fresh, parts) if shuffle else fresh).write.insertInto(dst, overwrite=True)
+        else:
+            expected = wanted.select(*parts, "n_src", (F.col("kind") == "added").alias("is_new"))
+
+            def recount() -> DataFrame:
+                spark.catalog.refreshTable(src)
+                return only_partitions(spark.table(src), wanted.select(*parts), parts)
+
+            replace_partitions(spark, dst, fresh, parts, expected, shuffle, recount)
+    gone = changes.filter("kind = 'removed'").select(*parts)
+    dropped = drop_partitions(spark, dst, gone, parts)
     spark.catalog.refreshTable(dst)
-    return _log_row(spark, name, pinned, mirrored_at, rewritten, dropped)
+    if rewritten or dropped:
+        settle(spark, dst, parts)
+    return rewritten, dropped
+
+
+def _differing_files(src: DataFrame, dst: DataFrame, parts: list[str]) -> DataFrame:
+    """Partitions whose files are not the same on both sides, by names and footers."""
+    both = _sides(file_manifest(src, parts), file_manifest(dst, parts), F.col("file_path"), *[F.col(f"`{p}`") for p in parts])
+    named = [F.col(f"`{p}`") for p in parts]
+    sides = both.groupBy("file_path", *named).agg(F.count_if(F.col("__src")).alias("n_src"), F.count_if(~F.col("__src")).alias("n_dst"))
+    return pin(sides.filter("n_src <> n_dst").select(*named).distinct(), "differing")
 
 
 @contextlib.contextmanager
@@ -442,71 +461,18 @@ def _overwriting_touched_only(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
-def _mirror_whole(spark, src, dst, name, pinned, mirrored_at, compare: bool) -> DataFrame:
-    """Unpartitioned tables are one partition: overwritten when anything differs."""
+def _mirror_whole(spark: SparkSession, src: str, dst: str, compare: bool) -> int:
+    """Unpartitioned tables are one partition: written anew when anything differs."""
     here, there = spark.table(src), spark.table(dst)
     if compare and changed_partitions(here.select(*there.columns), there, []).limit(1).count() == 0:
-        return _log_row(spark, name, pinned, mirrored_at, 0, 0)
-    staged = pin(here.select(*there.columns), "staged")
-    staged.write.insertInto(dst, overwrite=True)
-    spark.catalog.refreshTable(dst)
-    return _log_row(spark, name, pinned, mirrored_at, 1, 0)
-
-
-def _only_partitions(df: DataFrame, wanted: DataFrame, parts: list[str]) -> DataFrame:
-    """Rows of the wanted partitions, nulls included; other partitions' files are not listed.
-
-    The filter is a set of texts made of partition columns alone, so it prunes at
-    any size. Names only come to the driver.
-    """
-    types = {f.name: f.dataType for f in wanted.schema.fields}
-
-    def key(source) -> Column:
-        # A text is led by a letter, so that no text stands for null.
-        texts = [F.coalesce(F.concat(F.lit("v"), source(p).cast(types[p]).cast("string")), F.lit("n")) for p in parts]
-        return F.concat_ws("\u0001", *texts)
-
-    own = key(lambda p: F.col(f"`{p}`"))
-    found, group = None, []
-
-    def scan(keys: list[str]) -> DataFrame:
-        return df.filter(own.isin(keys))
-
-    for row in wanted.select(own.alias("key")).toLocalIterator():
-        group.append(row["key"])
-        if len(group) == _KEYS_PER_SCAN:
-            found = scan(group) if found is None else found.unionByName(scan(group))
-            group = []
-    if group or found is None:
-        found = scan(group) if found is None else found.unionByName(scan(group))
-    return found
-
-
-def _drop_partitions(spark: SparkSession, table: str, gone: DataFrame, parts: list[str]) -> int:
-    """Drops partitions by name, some per statement; names only come to the driver."""
-    specs, dropped = [], 0
-
-    def flush():
-        if specs:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs))
-            specs.clear()
-
-    for row in gone.toLocalIterator():
-        specs.append("PARTITION (" + ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts) + ")")
-        dropped += 1
-        if len(specs) == _PARTITIONS_PER_STATEMENT:
-            flush()
-    flush()
-    return dropped
-
-
-def _sql_literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, (bool, int, float)):
-        return str(value)
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
+        return 0
+    rows = here.select(*there.columns)
+    if not is_managed(spark, dst) and is_parquet(spark, dst):
+        own_whole(spark, dst, rows)
+    else:
+        pin(rows, "staged").write.insertInto(dst, overwrite=True)
+        spark.catalog.refreshTable(dst)
+    return 1
 
 
 def _log_row(spark, name, snapshot_id, mirrored_at, rewritten, dropped) -> DataFrame:
@@ -518,54 +484,3 @@ def _log(spark, rows: list[tuple], mirrored_at) -> DataFrame:
     return spark.createDataFrame(rows, schema).select(
         "table_name", "snapshot_id", moment(mirrored_at).alias("mirrored_at"), "rewritten", "dropped"
     )
-
-
-def mirror_sweep(
-    spark: SparkSession,
-    jobs: DataFrame,
-    ledger: DataFrame,
-    mirror_log: DataFrame,
-    mirrored_at,
-    names: v.Naming = v.DEFAULT,
-    verify: bool = False,
-    on_status=None,
-    sql_name=None,
-) -> tuple[DataFrame, DataFrame]:
-    """Mirrors every selected job that is out of sync: (mirror-log rows, job states).
-
-    A table's target serves as the source of the mirror and its kept source (the
-    suffixed table) as the destination. The loop is over tables, each of which is
-    a Spark job of its own. ``on_status(task_id, status)`` is told before and
-    after each table, for a queue that should show it; ``sql_name(catalog, db,
-    table)`` spells a table for Spark (catalog.db.table by default).
-    """
-    selected = select_mirror(jobs).withColumn("table_name", qualified("/"))
-    todo = in_sync(selected, ledger, watermarks(mirror_log)).filter(~F.col("in_sync"))
-    spell = sql_name or dotted
-    logs, states = [], []
-    for job in todo.select(
-        "task_id", "catalog_name", "db_name", "tbl_name", "table_name", "watermark"
-    ).collect():
-        if on_status:
-            on_status(job["task_id"], v.MIRRORING)
-        done = (
-            mirror_updates(
-                spark,
-                spell(job["catalog_name"], job["db_name"], job["tbl_name"]),
-                spell(job["catalog_name"], job["db_name"], job["tbl_name"] + names.source_suffix),
-                mirrored_at,
-                ledger=ledger,
-                watermark=job["watermark"],
-                ledger_name=job["table_name"],
-                verify=verify,
-            )
-            .first()
-        )
-        logs.append((done["table_name"], done["snapshot_id"], done["rewritten"], done["dropped"]))
-        if on_status:
-            on_status(job["task_id"], None)
-        states.append((job["task_id"], v.MIRRORING, 1))
-        states.append((job["task_id"], None, 2))
-    schema = "task_id bigint, shadow_status string, step int"
-    return _log(spark, logs, mirrored_at), spark.createDataFrame(states, schema)
-

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carryall.operators import movement
+from carryall.operators import movement, sweep
 from carryall.plans.fixtures import AS_OF, base, fixture
 from carryall.plans.registry import flat, query, sql_time
 from carryall.schemas import JOB
-from carryall.sources.tables import append_rows, commit_rows, fresh_name, fresh_path, pin, spread
+from carryall.sources.appends import append_rows
+from carryall.sources.tables import commit_rows, fresh_name, fresh_path, pin, spread
 
 _PARTS = ["l_returnflag", "l_linestatus"]
 _PARTS_SQL = ", ".join(_PARTS)
@@ -355,7 +356,7 @@ def _(spark, sf):
     mirrored = spark.createDataFrame(log, "table_name string, snapshot_id bigint").withColumn(
         "mirrored_at", F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
     )
-    movement.mirror_sweep(spark, queue, pin(ledger, "ledger"), mirrored, AS_OF)
+    sweep.mirror_sweep(spark, queue, pin(ledger, "ledger"), mirrored, AS_OF)
 
     def counts(suffix):
         out = None

@@ -93,34 +93,63 @@ def copy_rows(
 ) -> None:
     """A new table ``dst`` with the columns, partitioning and all rows of ``src``.
 
-    Created, filled and stamped in one statement; an existing ``dst`` is dropped.
-    The source's files are partitioned as the target's are to be, so the copy is a
-    map over them and shuffles nothing.
+    Created, filled and stamped in one statement under a name of its own. Only when it
+    has as many rows as the source's footers (of Parquet) say does it take the name of
+    ``dst``; an existing ``dst`` can be read until then, and is dropped after. The
+    source's files are partitioned as the target's are to be, so the copy is a map over
+    them and shuffles nothing.
     """
     parts = partition_columns(spark, src)
     listed = ", ".join(f"`{p}`" for p in parts)
-    spark.sql(f"DROP TABLE IF EXISTS {dst}")
-    spark.sql(
-        f"CREATE TABLE {dst} USING {provider}"
-        + (f" PARTITIONED BY ({listed})" if parts else "")
-        + (f" LOCATION '{location}'" if location else "")
-        + (f" TBLPROPERTIES ({property_list(properties)})" if properties else "")
-        + f" AS SELECT * FROM {src}"
-    )
+    building = beside(dst)
+    try:
+        spark.sql(
+            f"CREATE TABLE {building} USING {provider}"
+            + (f" PARTITIONED BY ({listed})" if parts else "")
+            + (f" LOCATION '{location}'" if location else "")
+            + (f" TBLPROPERTIES ({property_list(properties)})" if properties else "")
+            + f" AS SELECT * FROM {src}"
+        )
+        if provider == "parquet" and is_parquet(spark, src):
+            spark.catalog.refreshTable(src)
+            if spark.table(src).count() != spark.table(building).count():
+                raise ValueError(f"{src} changed while it was copied")
+        take_name(spark, building, dst)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {building}")
+        raise
+
+
+def beside(table: str) -> str:
+    """An unused name next to a table's."""
+    return f"{table.rstrip('`')}_{uuid.uuid4().hex[:8]}" + ("`" if table.endswith("`") else "")
+
+
+def take_name(spark: SparkSession, building: str, dst: str) -> None:
+    """Puts one table in the place of another, which is dropped once it is replaced."""
+    if not spark.catalog.tableExists(dst):
+        rename_table(spark, building, dst)
+        return
+    aside = beside(dst)
+    rename_table(spark, dst, aside)
+    try:
+        rename_table(spark, building, dst)
+    except Exception:
+        rename_table(spark, aside, dst)
+        raise
+    spark.sql(f"DROP TABLE {aside}")
 
 
-def property_list(values: dict[str, str]) -> str:
-    return ", ".join(f"'{k}'='{val}'" for k, val in values.items())
+def rename_table(spark: SparkSession, old: str, new: str) -> None:
+    """Renames a table within its catalog."""
+    spark.sql(f"ALTER TABLE {old} RENAME TO {_in_catalog(new)}")
+    if partition_columns(spark, new) and is_managed(spark, new):
+        # The in-memory catalogue forgets where moved partitions are.
+        spark.catalog.recoverPartitions(new)
 
 
-def own_files(spark: SparkSession, table: str) -> None:
-    """Gives a table that shares another one's files a copy of its own; else nothing."""
-    if get_property(spark, table, SHARED_FILES) is None:
-        return
-    copy = f"{table.rstrip('`')}_{uuid.uuid4().hex[:8]}" + ("`" if table.endswith("`") else "")
-    copy_rows(spark, table, copy, location=fresh_path(spark, "own"))
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {copy} RENAME TO {_in_catalog(table)}")
+def property_list(values: dict[str, str]) -> str:
+    return ", ".join(f"'{k}'='{val}'" for k, val in values.items())
 
 
 def spread(df: DataFrame, parts: list[str]) -> DataFrame:
@@ -133,25 +162,6 @@ def spread(df: DataFrame, parts: list[str]) -> DataFrame:
     return df.hint("rebalance", *parts) if parts else df
 
 
-def append_rows(
-    df: DataFrame, table: str, snapshot_id: int, committed_at, operation: str = "append"
-) -> DataFrame:
-    """Appends by position to a table and gives the ledger rows of the commit.
-
-    The rows' columns are taken in the table's order whatever their names are. A
-    table that shares files gets its own first.
-    """
-    spark = df.sparkSession
-    own_files(spark, table)
-    target = spark.table(table)
-    if len(df.columns) != len(target.columns):
-        raise ValueError(f"{table} has {len(target.columns)} columns, not {len(df.columns)}")
-    renamed = df.toDF(*target.columns)
-    parts = partition_columns(spark, table)
-    spread(renamed, parts).write.insertInto(table)
-    return commit_rows(renamed, table, parts, snapshot_id, committed_at, operation)
-
-
 def commit_rows(
     df: DataFrame, table: str, parts: list[str], snapshot_id: int, committed_at, operation: str
 ) -> DataFrame:
@@ -220,11 +230,6 @@ def run_renames(spark: SparkSession, plan: DataFrame, spell=None) -> int:
         if not ready:
             raise ValueError(f"renames in a circle: {sorted(pending)}")
         for key in ready:
-            new = pending.pop(key)
-            old_name, new_name = spell(*key), spell(key[0], key[1], new)
-            spark.sql(f"ALTER TABLE {old_name} RENAME TO {_in_catalog(new_name)}")
-            if partition_columns(spark, new_name) and is_managed(spark, new_name):
-                # The in-memory catalogue forgets where moved partitions are.
-                spark.catalog.recoverPartitions(new_name)
+            rename_table(spark, spell(*key), spell(key[0], key[1], pending.pop(key)))
             done += 1
     return done

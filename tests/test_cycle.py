@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from carryall import vocabulary as v
 from carryall.operators import catalog as cat
-from carryall.operators import lifecycle, movement, selectors
+from carryall.operators import lifecycle, movement, selectors, sweep
 from carryall.plans import runs
 from carryall.plans.movement_queries import make_table
 from carryall.schemas import CATALOG, JOB, KEY
-from carryall.sources import queue, tables
+from carryall.sources import appends, queue, tables
 
 CATALOG_NAME, DB = "spark_catalog", "default"
 N = v.DEFAULT
@@ -82,7 +82,7 @@ class World:
 
     def write(self, name, rows, at):
         self.snapshot += 1
-        new = tables.append_rows(rows, name, self.snapshot, at).withColumn(
+        new = appends.append_rows(rows, name, self.snapshot, at).withColumn(
             "table_name", F.lit(f"{CATALOG_NAME}/{DB}/{name}")
         )
         self.ledger = self.keep(new if self.ledger is None else self.ledger.unionByName(new), "ledger")
@@ -194,15 +194,18 @@ def test_full_cycle_then_swap_back(spark, strategy):
         assert (w.count(name), w.count(name + "_source")) == (200, 100)
     no_log = spark.createDataFrame([], "table_name string, snapshot_id bigint, mirrored_at timestamp_ntz")
     seen = []
-    log, steps = movement.mirror_sweep(
+    log, steps = sweep.mirror_sweep(
         spark, w.jobs, w.ledger, no_log, day(16), on_status=lambda task, status: seen.append((task, status))
     )
-    assert steps.count() == 4 and [s for _, s in seen] == [v.MIRRORING, None] * 2
+    assert [r.outcome for r in steps.collect()] == ["mirrored"] * 2
+    for task in {task for task, _ in seen}:
+        assert [s for t, s in seen if t == task] == [v.MIRRORING, None]
+    assert len(seen) == 4
     w.log = w.keep(log, "log")
     for name in w.names:
         left, right = spark.table(name), spark.table(name + "_source")
         assert right.count() == 200 and movement.content_difference(left, right.select(*left.columns)).count() == 0
-    idle, _ = movement.mirror_sweep(spark, w.jobs, w.ledger, w.log, day(16))
+    idle, _ = sweep.mirror_sweep(spark, w.jobs, w.ledger, w.log, day(16))
     assert idle.count() == 0
 
     assert sorted(m.level for m in w.notify(day(17))) == [2, 2]

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from carryall.operators import movement
 from carryall.plans.movement_queries import make_table
+from carryall.sources import partitions
+from carryall.sources.appends import append_rows
 from carryall.sources.tables import (
-    append_rows,
     commit_rows,
     fresh_name,
     fresh_path,
@@ -98,7 +99,7 @@ def test_mirror_with_null_partitions_duplicates_and_maps(spark):
 
 
 def test_mirror_of_many_partitions_takes_several_scans(spark, monkeypatch):
-    monkeypatch.setattr(movement, "_KEYS_PER_SCAN", 3)
+    monkeypatch.setattr(partitions, "KEYS_PER_SCAN", 3)
     src = spark.range(60).selectExpr("id", "concat('v', id) v", "case when id % 7 <> 0 then id % 10 end p")
     dst = src.withColumn("v", F.when(F.col("p") % 2 == 0, F.lit("stale")).otherwise(F.col("v"))).filter(
         "p is not null"
@@ -265,17 +266,17 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_filter_on_named_partitions_prunes_the_scan(spark):
     table = make_table(spark.range(40).selectExpr("id", "id % 4 p"), "t", ["p"])
     wanted = spark.createDataFrame([(1,)], "p bigint")
-    plan = movement._only_partitions(spark.table(table), wanted, ["p"])
+    plan = partitions.only_partitions(spark.table(table), wanted, ["p"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in text and "DataFilters: []" in text
-    read = movement._only_partitions(spark.table(table), wanted, ["p"]).select("_metadata.file_path")
+    read = partitions.only_partitions(spark.table(table), wanted, ["p"]).select("_metadata.file_path")
     assert all("/p=1/" in r[0] for r in read.distinct().collect()) and read.count() == 10
 
 
 def test_scans_stay_pruned_for_any_number_of_partitions(spark):
     src = make_table(spark.range(1200).selectExpr("id", "id % 600 p"), "src", ["p"])
     wanted = spark.range(450).selectExpr("id p")
-    found = movement._only_partitions(spark.table(src), wanted, ["p"])
+    found = partitions.only_partitions(spark.table(src), wanted, ["p"])
     folders = {r[0].rsplit("/", 2)[1] for r in found.select("_metadata.file_path").distinct().collect()}
     assert found.count() == 900 and folders == {f"p={k}" for k in range(450)}
     plan = found._jdf.queryExecution().executedPlan().toString()
