@@ -79,9 +79,12 @@ def edit(
 
 
 def _edits(rows: DataFrame, *conditional: Column) -> DataFrame:
-    """Edits of each row that are not null, as rows keyed by the edited table."""
+    """Edits of each row that are not null, as rows keyed by the edited table.
+
+    ``base`` is the table of the job that an edit belongs to.
+    """
     listed = F.array_compact(F.array(*conditional)).cast(_EDIT_TYPE)
-    return rows.select(KEY[0], KEY[1], F.inline(listed))
+    return rows.select(KEY[0], KEY[1], F.col(KEY[2]).alias("base"), F.inline(listed))
 
 
 def apply_edits(catalog: DataFrame, edits: DataFrame) -> DataFrame:
@@ -130,6 +133,40 @@ def rename_plan(edits: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAUL
     )
 
 
+def physical_steps(edits: DataFrame) -> DataFrame:
+    """What has to be done to the real tables of every job: (catalog, db, base, drops, renames).
+
+    A job has a handful of relatives, so both lists are short. Renames are in no order:
+    one waits until the name it takes is free.
+    """
+    rename = F.when(F.col("new_name").isNotNull(), F.struct("tbl_name", "new_name"))
+    return edits.groupBy(KEY[0], KEY[1], "base").agg(
+        F.collect_set(F.when(F.col("removed"), F.col("tbl_name"))).alias("drops"),
+        F.collect_set(rename).alias("renames"),
+    )
+
+
+def target_entries(
+    copied: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAULT
+) -> DataFrame:
+    """The catalogue with entries for new targets: copied(key, location) of the queued tables.
+
+    A target has the fields of its table and is in target format; it starts without tags.
+    An entry that an earlier try left is replaced.
+    """
+    none = F.lit(None)
+    source = catalog.join(copied.select(*KEY, F.col("location").alias("__at")), KEY)
+    known = {
+        "tbl_name": F.concat("tbl_name", F.lit(names.target_suffix)),
+        "table_type": F.lit(names.target_marker.upper()),
+        "data_uri": F.col("__at"),
+        **{c: none for c in ("serde_uri", "data_size", "tags", "secure", "migrated_data_location")},
+    }
+    types = dict(catalog.dtypes)
+    new = source.select(*[known.get(c, F.col(c)).cast(types[c]).alias(c) for c in catalog.columns])
+    return catalog.join(new.select(*KEY), KEY, "left_anti").unionByName(new)
+
+
 def drop_plan(edits: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAULT) -> DataFrame:
     """Physical drops, to be done before the renames, with the protective tags to lift first."""
     held = F.array_intersect(sets.as_set(F.col("tags")), sets.literal_set(names.protected_tags))

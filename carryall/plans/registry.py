@@ -37,6 +37,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         movement_queries,
         outbox_queries,
         queue_queries,
+        run_queries,
     )
 
     return dict(_QUERIES), {name: with_fixtures(sql) for name, sql in _CHECKS.items()}

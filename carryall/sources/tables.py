@@ -205,6 +205,25 @@ def _in_catalog(name: str) -> str:
     return ".".join(re.findall(r"`[^`]*`|[^.`]+", name)[-2:])
 
 
+def rename_in_turn(spark: SparkSession, renames: list[tuple[str, str]]) -> int:
+    """Renames the tables of one family, each once the name it takes is free; their number.
+
+    A rename whose new name is there already was done by an earlier try.
+    """
+    pending = dict(renames)
+    done = 0
+    while pending:
+        ready = [old for old, new in pending.items() if new not in pending]
+        if not ready:
+            raise ValueError(f"renames in a circle: {sorted(pending)}")
+        for old in ready:
+            new = pending.pop(old)
+            if not spark.catalog.tableExists(new):
+                rename_table(spark, old, new)
+                done += 1
+    return done
+
+
 def run_drops(spark: SparkSession, plan: DataFrame, spell=None) -> int:
     """Drops the tables of a drop plan, one after the other; those gone already are passed over."""
     spell = spell or dotted
