@@ -108,27 +108,32 @@ def _rename(control: Control, jobs: DataFrame, edits: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- waves
 
 
-def _skipping_done(control: Control, run_id: str, acting: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(jobs still to be worked on, jobs whose stage the journal has as done)."""
-    # A stage occurs once in a flow; a resumed run may come to it in another wave.
+def _done_before(control: Control, run_id: str) -> DataFrame | None:
+    """task_id, action of the stages that an earlier try of the run has done; None if there are none.
+
+    A stage occurs once in a flow; a resumed run may come to it in another wave.
+    """
     stages = control.journal.stages(run_id).filter(F.col("outcome") == Journal.DONE)
-    done = stages.select("task_id", F.col("stage").alias("action"))
-    return acting.join(done, ["task_id", "action"], "left_anti"), acting.join(done, ["task_id", "action"], "left_semi")
+    done = pin(stages.select("task_id", F.col("stage").alias("action"), F.col("detail").alias("location")), "before")
+    return None if done.isEmpty() else done
 
 
-def _carry_out(control: Control, run_id: str, as_of, step: int, acting: DataFrame) -> DataFrame:
+def _carry_out(
+    control: Control, run_id: str, as_of, step: int, acting: DataFrame, kinds: list[str], before: DataFrame | None
+) -> DataFrame:
     """One wave over acting(job columns, strategy, action): the jobs that came through.
 
     Journal, real tables, journal, catalogue: in this order, the queue being the caller's.
     """
     entry = acting.select("task_id", F.lit(step).alias("step"), F.col("action").alias("stage"))
     control.journal.write(entry, run_id, Journal.BEGUN, as_of)
-    todo, done = _skipping_done(control, run_id, acting)
-    todo, done = pin(todo, "todo"), pin(done, "done")
+    todo, done = acting, None
+    if before is not None:
+        todo = pin(acting.join(before, ["task_id", "action"], "left_anti"), "todo")
+        done = acting.join(before, ["task_id", "action"])
     catalog = control.catalog.read()
     results = control.spark.createDataFrame([], _RESULT)
     edits: dict[str, DataFrame] = {}
-    kinds = [r["action"] for r in acting.select("action").distinct().collect()]
     for kind in kinds:
         jobs = todo.filter(F.col("action") == kind)
         everyone = acting.filter(F.col("action") == kind)
@@ -136,7 +141,8 @@ def _carry_out(control: Control, run_id: str, as_of, step: int, acting: DataFram
             operation = cat.unarchive_source if kind == UNARCHIVE else getattr(cat, kind)
             changes, rejects = operation(everyone, catalog, control.names)
             edits[kind] = pin(changes, "edits")
-            refused = jobs.join(pin(rejects, "rejects"), KEY).select("task_id", F.col("reason").alias("detail"), F.lit(None).cast("string").alias("location"))
+            refused = jobs.join(rejects, KEY).select("task_id", F.col("reason").alias("detail"), F.lit(None).cast("string").alias("location"))
+            refused = pin(refused, "refused")
             fine = jobs.join(refused.select("task_id"), "task_id", "left_anti")
             results = results.unionByName(refused).unionByName(_rename(control, fine, edits[kind]))
         elif kind == "copy":
@@ -150,16 +156,13 @@ def _carry_out(control: Control, run_id: str, as_of, step: int, acting: DataFram
     # Where a copy went is kept with it: a rerun needs it for the catalogue.
     said = ended.withColumn("detail", F.coalesce("detail", "location")).drop("location")
     control.journal.write(said, run_id, None, as_of)
-    passed = pin(
-        todo.join(results.filter("detail is null").select("task_id", "location"), "task_id")
-        .unionByName(done.withColumn("location", F.lit(None).cast("string"))),
-        "passed",
-    )
-    _edit_catalog(control, run_id, kinds, passed, edits)
+    passed = todo.join(results.filter("detail is null").select("task_id", "location"), "task_id")
+    passed = pin(passed if done is None else passed.unionByName(done), "passed")
+    _edit_catalog(control, kinds, passed, edits)
     return passed.drop("location")
 
 
-def _edit_catalog(control: Control, run_id: str, kinds: list[str], passed: DataFrame, edits) -> None:
+def _edit_catalog(control: Control, kinds: list[str], passed: DataFrame, edits) -> None:
     """The catalogue after a wave: the edits of the jobs that came through."""
     catalog, names = control.catalog.read(), control.names
     every = None
@@ -176,12 +179,9 @@ def _edit_catalog(control: Control, run_id: str, kinds: list[str], passed: DataF
             continue
         every = some if every is None else every.unionByName(some)
     if every is not None:
-        catalog = pin(cat.apply_edits(catalog, every), "catalog")
+        catalog = cat.apply_edits(catalog, every)
     if "copy" in kinds:
-        kept = control.journal.stages(run_id).filter("stage = 'copy'")
-        kept = kept.filter(F.col("outcome") == Journal.DONE).select("task_id", F.col("detail").alias("kept"))
-        copied = passed.filter("action = 'copy'").join(kept, "task_id", "left").withColumn("location", F.coalesce("location", "kept"))
-        catalog = pin(cat.target_entries(copied, catalog, names), "catalog")
+        catalog = cat.target_entries(passed.filter("action = 'copy'"), catalog, names)
     if "promote" in kinds:
         promoted = passed.filter("action = 'promote'")
         catalog, _ = cat.copy_definition(promoted, catalog, names)
@@ -190,28 +190,34 @@ def _edit_catalog(control: Control, run_id: str, kinds: list[str], passed: DataF
     control.catalog.replace(catalog)
 
 
-def _walk(control: Control, run_id: str, as_of, jobs: DataFrame, flow: str, first_step: int = 1) -> None:
+def _walk(
+    control: Control, run_id: str, as_of, jobs: DataFrame, flow: str, before: DataFrame | None
+) -> None:
     """Takes jobs(job columns, strategy, is_source) to rest, one wave of actions at a time."""
+    columns = jobs.columns
     jobs = pin(jobs, "walking")
-    for step in range(first_step, first_step + _MOST_WAVES):
-        acting = pin(lifecycle.next_action(jobs, flow).filter("action is not null"), "acting")
-        if acting.isEmpty():
-            return
+    for step in range(1, _MOST_WAVES):
+        acting = lifecycle.next_action(jobs, flow).filter("action is not null")
         # A table in target format already is not copied: the job goes back and pauses.
         refused = (F.col("action") == "copy") & ~F.coalesce(F.col("is_source"), F.lit(False))
-        held = acting.filter(refused)
-        back = held.withColumns(
-            {
+        kinds = [tuple(r) for r in acting.select("action", refused.alias("refused")).distinct().collect()]
+        if not kinds:
+            return
+        if any(r for _, r in kinds):
+            back = {
                 "state": F.lit(v.READY),
                 "desired_state": F.lit(v.LOCKED),
                 "migration_paused": F.lit(1),
                 "pause_reason": F.lit(v.ALREADY_TARGET),
             }
-        )
-        passed = _carry_out(control, run_id, as_of, step, acting.filter(~refused))
-        moved = passed.withColumns({"state": F.col("next_state"), "desired_state": F.col("next_desired")})
-        control.put(moved.select(*JOB_COLUMNS).unionByName(back.select(*JOB_COLUMNS)), as_of)
-        jobs = pin(moved.select(*jobs.columns), "walking")
+            control.put(acting.filter(refused).withColumns(back), as_of)
+            acting = acting.filter(~refused)
+        going = sorted(kind for kind, r in kinds if not r)
+        if not going:
+            return
+        passed = _carry_out(control, run_id, as_of, step, acting, going, before)
+        jobs = passed.withColumns({"state": F.col("next_state"), "desired_state": F.col("next_desired")}).select(*columns)
+        control.put(jobs, as_of)
 
 
 # ---------------------------------------------------------------- runs
@@ -253,7 +259,7 @@ def migrate_run(
     )
     start = pin(start.drop("__s", "__d"), "start")
     control.put(start, as_of)
-    _walk(control, run_id, as_of, start.filter(~held), v.FORWARD)
+    _walk(control, run_id, as_of, start.filter(~held), v.FORWARD, _done_before(control, run_id))
     return control.journal.stages(run_id)
 
 
@@ -284,11 +290,13 @@ def revert_run(control: Control, asked: DataFrame, as_of, run_id: str) -> tuple[
     control.put(jobs, as_of)
     extra = {"strategy": F.lit("REWRITE"), "is_source": F.lit(True)}
     begun = jobs.withColumns({**extra, "action": F.lit(UNARCHIVE)})
+    before = _done_before(control, run_id)
     ended = stages.filter((F.col("stage") != UNARCHIVE) & (F.col("outcome") == Journal.DONE)).select("task_id").distinct()
     later = jobs.join(ended, "task_id", "left_semi")
-    passed = _carry_out(control, run_id, as_of, 0, pin(begun.join(ended, "task_id", "left_anti"), "begun"))
+    first = begun.join(ended, "task_id", "left_anti")
+    passed = _carry_out(control, run_id, as_of, 0, pin(first, "begun"), [UNARCHIVE], before)
     walking = passed.select(*JOB_COLUMNS).unionByName(later.select(*JOB_COLUMNS))
-    _walk(control, run_id, as_of, walking.withColumns(extra), v.REVERT)
+    _walk(control, run_id, as_of, walking.withColumns(extra), v.REVERT, before)
     return control.journal.stages(run_id), rejects
 
 
