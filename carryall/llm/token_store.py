@@ -78,7 +78,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """
     schema = "doc_id long, n_tokens long, tokens array<int>"
     rows = spark.read.schema(schema).parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
-    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy("file").collect()
+    # By the number of the part, which has more than five digits from 100,000 files on.
+    part = F.regexp_extract("file", "^part-([0-9]+)", 1).cast("long")
+    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy(part, "file").collect()
     before, total = [], 0
     for r in totals:
         before.append((r["file"], total))

@@ -15,8 +15,11 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 
 _U = np.uint64
-# Bytes that are hashed together; a longer word gets its number from xxHash.
+# Bytes that are hashed together.
 _PIECE = 1 << 19
+# A longer word gets its number from xxHash: polynomials modulo a power of two give one
+# number to certain pairs of words of 1024 bytes, whatever their base.
+_LONG = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -124,6 +127,8 @@ def _numbers(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         a, b = starts[i:j] - first, ends[i:j] - first
         out[i:j] = (sums[b] - sums[a]) * inverse[a]
         i = j
+    for k in np.flatnonzero(ends - starts > _LONG):
+        out[k] = xxhash.xxh64_intdigest(buffer[starts[k] : ends[k]].tobytes())
     return mix(out)
 
 
