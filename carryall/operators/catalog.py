@@ -431,19 +431,38 @@ def unarchive_source(
 # ---------------------------------------------------------------- metadata
 
 
+def merge_definitions(source: Column, target: Column, names: v.Naming = v.DEFAULT) -> Column:
+    """The definition document of a target: the source's, but for the keys that are its own.
+
+    Keys that nobody here knows go along. A key that the side it is taken from lacks, or
+    has as null, is left out; a missing document counts as an empty one.
+    """
+    none = F.create_map().cast("map<string,string>")
+    own = list(names.own_definition_keys)
+
+    def rule(key, ours, theirs):
+        return F.when(key.isin(own), theirs).otherwise(ours) if own else ours
+
+    both = F.map_zip_with(F.coalesce(source, none), F.coalesce(target, none), rule)
+    return F.map_filter(both, lambda _, value: value.isNotNull())
+
+
 def copy_definition(
     jobs: DataFrame, catalog: DataFrame, names: v.Naming = v.DEFAULT
 ) -> tuple[DataFrame, DataFrame]:
     """(catalogue, rejects): definition metadata of the kept source put on the target.
 
     The target also learns where the data came from (unless the source says so
-    already) and is tagged as migrated. Nothing changes when either table is
-    missing or the target is locked; a source without a location is rejected.
+    already) and is tagged as migrated. Where the catalogue has a ``definition`` column,
+    a map of whatever else defines a table, all of the source's keys go along. Nothing
+    changes when either table is missing or the target is locked; a source without a
+    location is rejected.
     """
+    document = ["definition"] if "definition" in catalog.columns else []
     family = table_family(
         catalog,
         {"__to": "", "__from": names.source_suffix},
-        *[F.col(c) for c in DEFINITION_COLUMNS],
+        *[F.col(c) for c in [*DEFINITION_COLUMNS, *document]],
         F.col("data_uri"),
         sets.as_set(F.col("tags")).alias("tags"),
     )
@@ -455,10 +474,13 @@ def copy_definition(
     location = F.coalesce("__from.migrated_data_location", "__from.data_uri")
     tags = F.array_sort(F.array_union("__from.tags", sets.literal_set([names.migrated_tag])))
     moved = [F.col(f"__from.{c}") for c in DEFINITION_COLUMNS if c != "migrated_data_location"]
+    if document:
+        merged = merge_definitions(F.col("__from.definition"), F.col("__to.definition"), names)
+        moved.append(merged.alias("definition"))
     updates = pairs.filter(location.isNotNull()).select(
         *KEY, F.struct(*moved, location.alias("migrated_data_location"), tags.alias("tags")).alias("__new")
     )
-    changed = {*DEFINITION_COLUMNS, "tags"}
+    changed = {*DEFINITION_COLUMNS, *document, "tags"}
     new_catalog = catalog.join(updates, KEY, "left").select(
         *[
             F.when(F.col("__new").isNotNull(), F.col("__new")[c]).otherwise(F.col(c)).alias(c)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from carryall import vocabulary as v
 from carryall.functions import sets
 from carryall.operators import catalog as cat
 from carryall.plans.fixtures import fixture, jobs
@@ -315,6 +318,31 @@ def _(spark, sf):
     )
 
 
+@query(
+    "copy_definition_document",
+    f"""with {_SOURCES}, kinds as (select catalog_name c, db_name d, tbl_name t, coalesce(lower(table_type), 'none') s_kind from fleet),
+marked as (select fleet.*, s_owner, s_kind, s_location is not null
+  and not list_contains(coalesce(tags, []), 'migration_do_not_modify') hit
+ from fleet left join sources using ({_KEY_SQL}) left join kinds
+  on c = fleet.catalog_name and d = fleet.db_name and t = fleet.tbl_name || '_source')
+select {_KEY_SQL}, case when hit then 'kind=' || s_kind || ';legacy=yes;link=l/' || tbl_name || ';owner=' || s_owner
+ when tbl_name like '%\\_source' escape '\\' then 'kind=' || coalesce(lower(table_type), 'none') || ';legacy=yes;link=l/' || tbl_name || ';owner=' || owner_user_id
+ else 'fresh=1;kind=' || coalesce(lower(table_type), 'none') || ';link=l/' || tbl_name || ';owner=' || owner_user_id end definition from marked""",
+)
+def _(spark, sf):
+    """The whole definition document goes along, unknown keys too; the link stays the target's."""
+    kept = F.endswith("tbl_name", F.lit("_source"))
+    pairs = [
+        F.lit("owner"), F.col("owner_user_id"), F.lit("kind"), F.coalesce(F.lower("table_type"), F.lit("none")),
+        F.lit("link"), F.concat(F.lit("l/"), F.col("tbl_name")),
+        F.when(kept, "legacy").otherwise("fresh"), F.when(kept, "yes").otherwise("1"),
+    ]
+    documented = fleet(spark, sf).withColumn("definition", F.create_map(*pairs))
+    out, _ = cat.copy_definition(jobs(spark, sf), documented, replace(v.DEFAULT, own_definition_keys=("link",)))
+    entries = F.array_sort(F.transform(F.map_entries("definition"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return out.select(*KEY, F.array_join(entries, ";").alias("definition"))
+
+
 @query(
     "copy_definition_rejects",
     f"""with {_SOURCES} select {_KEY_SQL}, 'source has no location' reason from fleet join sources using ({_KEY_SQL})

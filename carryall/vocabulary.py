@@ -96,6 +96,8 @@ class Naming:
     no_drop_tag: str = "do_not_drop"
     archived_tag: str = "archived_source"
     migrated_tag: str = "migrated_from_source"
+    # Keys of the definition document that a target keeps of its own.
+    own_definition_keys: tuple[str, ...] = ()
     mail_domain: str = "@example.com"
     service_account: str = "table_scanner@example.com"
     support_channel: str = "the data platform desk"

@@ -209,3 +209,22 @@ def test_day_phrases(spark):
 
 def test_key_columns():
     assert KEY == ["catalog_name", "db_name", "tbl_name"]
+
+
+def test_definition_documents_are_merged_by_key(spark):
+    from dataclasses import replace
+
+    from carryall import vocabulary as v
+    from carryall.operators.catalog import merge_definitions
+
+    names = replace(v.DEFAULT, own_definition_keys=("link", "absent"))
+    rows = [
+        (1, {"a": "s", "link": "s", "gone": None}, {"b": "t", "link": "t"}),
+        (2, {"a": "s", "link": "s"}, None),
+        (3, None, {"b": "t", "link": "t"}),
+        (4, None, None),
+    ]
+    df = spark.createDataFrame(rows, "n int, s map<string,string>, t map<string,string>")
+    got = {r.n: r.d for r in df.select("n", merge_definitions(df.s, df.t, names).alias("d")).collect()}
+    assert got == {1: {"a": "s", "link": "t"}, 2: {"a": "s"}, 3: {"link": "t"}, 4: {}}
+    assert df.select(merge_definitions(df.s, df.t).alias("d")).first().d == {"a": "s", "link": "s"}
