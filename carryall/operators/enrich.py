@@ -112,48 +112,79 @@ def unknown_size_tables(
 # ---------------------------------------------------------------- people
 
 
+def event_owners(meta_events: DataFrame) -> DataFrame:
+    """The owner id in the newest metadata event of each table: (table_name, user).
+
+    The id is taken out of the document before anything is shuffled, and all buffers
+    have a fixed width, so that every aggregation hashes: events are folded to one row
+    per table and id, then the newest time and, among ids of one time, the one with the
+    greatest hash is looked up. An event without a time is older than all others; an
+    event without an owner counts, and gives a null.
+    """
+    document = F.col("current_json")
+    at = F.unix_micros(F.col("event_time").cast("timestamp"))
+    seen = (
+        meta_events.filter((F.col("table_name") != "") & document.isNotNull() & (document != ""))
+        .select(
+            "table_name",
+            F.get_json_object(document, "$.definitionMetadata.owner.userId").alias("user"),
+            F.coalesce(at, F.lit(-(1 << 63))).alias("at"),
+        )
+        .groupBy("table_name", "user")
+        .agg(F.max("at").alias("at"))
+        .withColumn("tie", F.xxhash64("user"))
+    )
+    last = (
+        seen.groupBy("table_name", "at")
+        .agg(F.max("tie").alias("tie"))
+        .groupBy("table_name")
+        .agg(F.max("at").alias("at"), F.max_by("tie", "at").alias("tie"))
+    )
+    return seen.join(last, ["table_name", "at", "tie"], "left_semi").select("table_name", "user")
+
+
 def owner_candidates(
     contacts: DataFrame,
     meta_daily: DataFrame,
     meta_events: DataFrame,
     day_key: int,
     names: v.Naming = v.DEFAULT,
+    due: DataFrame | None = None,
 ) -> DataFrame:
-    """Owners of every known table: (table_name, owners).
+    """Owners of every known table, or of those in ``due``: (table_name, owners, found_in).
 
     In order: live contacts when there are any; else the day's metadata row when
     there is one, even an empty one; else the owner id in the newest metadata
-    event plus the mail domain.
+    event plus the mail domain. Of several rows of one table and source, the one with
+    the least hash of its owners counts.
 
     contacts(table_name, contacts array), meta_daily(table_name, contacts array,
-    dateint), meta_events(table_name, event_time, current_json).
+    dateint), meta_events(table_name, event_time, current_json), due(table_name).
     """
-    live = contacts.select(
+
+    def of_due(rows):
+        return rows if due is None else rows.join(due.select("table_name"), "table_name", "left_semi")
+
+    live = of_due(contacts.select("table_name", "contacts")).select(
         "table_name", F.lit(1).alias("rank"), sets.as_set(F.col("contacts")).alias("owners")
     ).filter(F.size("owners") > 0)
-    daily = meta_daily.filter(F.col("dateint") == day_key).select(
+    daily = of_due(meta_daily.filter(F.col("dateint") == day_key).select("table_name", "contacts")).select(
         "table_name", F.lit(2).alias("rank"), sets.as_set(F.col("contacts")).alias("owners")
     )
-    document = F.col("current_json")
-    newest = (
-        meta_events.filter(
-            (F.col("table_name") != "") & document.isNotNull() & (document != "")
-        )
-        .groupBy("table_name")
-        .agg(F.max(F.struct("event_time", "current_json")).alias("last"))
-    )
-    user = F.get_json_object("last.current_json", "$.definitionMetadata.owner.userId")
-    from_event = newest.select(
+    from_event = of_due(event_owners(meta_events)).select(
         "table_name",
         F.lit(3).alias("rank"),
-        sets.as_set(F.array(F.concat(user, F.lit(names.mail_domain)))).alias("owners"),
+        sets.as_set(F.array(F.concat("user", F.lit(names.mail_domain)))).alias("owners"),
     )
-    # One shuffle for all three: the best-ranked row per table wins.
-    ranked = live.unionByName(daily).unionByName(from_event)
+    # Rank and hash in one number: the least one of a table is found without sorting.
+    mask = F.lit((1 << 56) - 1)
+    choice = F.shiftleft(F.col("rank").cast("bigint"), 56) + F.xxhash64("owners").bitwiseAND(mask)
+    ranked = live.unionByName(daily).unionByName(from_event).withColumn("choice", choice)
+    best = ranked.groupBy("table_name").agg(F.min("choice").alias("choice"))
     return (
-        ranked.groupBy("table_name")
-        .agg(F.min(F.struct("rank", "owners")).alias("best"))
-        .select("table_name", F.col("best.owners").alias("owners"), F.col("best.rank").alias("found_in"))
+        ranked.join(best, ["table_name", "choice"], "left_semi")
+        .select("table_name", "owners", F.col("rank").alias("found_in"))
+        .distinct()
     )
 
 
@@ -165,8 +196,12 @@ def resolve_owners(
     day_key: int,
     names: v.Naming = v.DEFAULT,
 ) -> DataFrame:
-    """Adds tbl_owners to every job; tables without a known owner get the empty set."""
-    owners = owner_candidates(contacts, meta_daily, meta_events, day_key, names)
+    """Adds tbl_owners to every job; tables without a known owner get the empty set.
+
+    Of the sources only the rows of the given jobs' tables are looked at.
+    """
+    due = jobs.select(qualified("/").alias("table_name")).distinct()
+    owners = owner_candidates(contacts, meta_daily, meta_events, day_key, names, due)
     kept = [c for c in jobs.columns if c != "tbl_owners"]
     return (
         jobs.withColumn("__name", qualified("/"))

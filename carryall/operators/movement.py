@@ -181,19 +181,35 @@ def in_sync(tables: DataFrame, ledger: DataFrame, marks: DataFrame) -> DataFrame
     )
 
 
-def touched_partitions(ledger: DataFrame, marks: DataFrame) -> DataFrame:
+def partition_commits(ledger: DataFrame) -> DataFrame:
+    """Last commit of every partition: (table_name, partition_values, committed_at, snapshot_id)."""
+    by_partition = ledger.withColumn("__p", F.array_sort(F.map_entries("partition_values")))
+    return _last_commits(by_partition, ["table_name", "__p"], "committed_at").select(
+        "table_name", F.map_from_entries("__p").alias("partition_values"), "committed_at", "snapshot_id"
+    )
+
+
+def table_commits(ledger: DataFrame) -> DataFrame:
+    """When each snapshot was committed, at the latest: (table_name, snapshot_id, committed_at)."""
+    return ledger.groupBy("table_name", "snapshot_id").agg(F.max("committed_at").alias("committed_at"))
+
+
+def touched_partitions(
+    ledger: DataFrame, marks: DataFrame, commits: DataFrame | None = None
+) -> DataFrame:
     """Partitions committed to after each table's watermark: (table_name, partition_values).
 
     "After" is the order of commits, not of ids. A table whose watermark is
     unknown to the ledger has all its partitions listed. Every partition is
-    reduced to its last commit before the join.
+    reduced to its last commit before the join. Watermarks are looked up in ``commits``
+    where it is given (as kept by a ``LedgerSummary``), else in the ledger.
     """
     by_partition = ledger.withColumn("__p", F.array_sort(F.map_entries("partition_values")))
     last = _last_commits(by_partition, ["table_name", "__p"], "committed_at").select(
         "table_name", "__p", F.struct("committed_at", "snapshot_id").alias("__last")
     )
     return (
-        last.join(mark_commits(ledger, marks), "table_name", "left")
+        last.join(mark_commits(ledger if commits is None else commits, marks), "table_name", "left")
         .filter(F.col("__mark").isNull() | (F.col("__last") > F.col("__mark")))
         .select("table_name", F.map_from_entries("__p").alias("partition_values"))
     )
@@ -312,6 +328,74 @@ def changed_partitions(src: DataFrame, dst: DataFrame, parts: list[str]) -> Data
     )
 
 
+def changed_ranges(
+    src: DataFrame, dst: DataFrame, parts: list[str], key: str, width: int
+) -> DataFrame:
+    """Ranges of a whole-number key that differ: (parts…, key_from, key_to, n_src, n_dst).
+
+    The second level below ``changed_partitions``: a partition's rows are fingerprinted by
+    ranges of ``width`` key values, ``key_from`` to ``key_to``, the last one included. Rows
+    without a key have a range of their own, with both ends null. A partition with a
+    third of all rows is many ranges, and each reaches the shuffle as a row per task.
+    """
+    numbered = [side.withColumn("__from", _range_start(F.col(f"`{key}`"), width)) for side in (src, dst)]
+    return changed_partitions(*numbered, [*parts, "__from"]).select(
+        *[F.col(f"`{p}`") for p in parts],
+        F.col("__from").alias("key_from"),
+        (F.col("__from") + (width - 1)).alias("key_to"),
+        "n_src",
+        "n_dst",
+    )
+
+
+def _range_start(key: Column, width: int) -> Column:
+    return key.cast("bigint") - F.pmod(key.cast("bigint"), F.lit(width))
+
+
+def range_difference(
+    src: DataFrame, dst: DataFrame, parts: list[str], key: str, ranges: DataFrame
+) -> DataFrame:
+    """``content_difference`` of the rows in the given ranges alone.
+
+    The proof of ``changed_ranges``. The partitions' names and at most _BOUNDS pairs of
+    bounds of the key reach both scans as filters, so that row groups outside are not
+    read where files are laid out by the key; a join then keeps just the ranges.
+    """
+    listed = pin(ranges.select(*[F.col(f"`{p}`") for p in parts], "key_from", "key_to"), "ranges")
+    if listed.isEmpty():
+        none = F.lit(False)
+        return content_difference(src.filter(none), dst.filter(none))
+    bounds = _key_bounds(listed, key)
+    # All ranges have one width, so that the range of a row is known from its key.
+    width = listed.agg(F.max(F.col("key_to") - F.col("key_from") + 1)).first()[0] or 1
+    wanted = listed.select(*[F.col(f"`{p}`").alias(f"__{i}") for i, p in enumerate(parts)], "key_from")
+    own = _range_start(F.col(f"`{key}`"), width).eqNullSafe(F.col("key_from"))
+    for i, p in enumerate(parts):
+        own = own & F.col(f"`{p}`").eqNullSafe(F.col(f"__{i}"))
+    named = listed.select(*[F.col(f"`{p}`") for p in parts]).distinct()
+    near = [only_partitions(side, named, parts) if parts else side for side in (src, dst)]
+    return content_difference(*[side.filter(bounds).join(wanted, own, "left_semi") for side in near])
+
+
+# Pairs of bounds that a scan's filter names at most; near ranges share a pair.
+_BOUNDS = 64
+
+
+def _key_bounds(ranges: DataFrame, key: str) -> Column:
+    """A filter that holds for all keys in the ranges, and few others."""
+    ends = ranges.agg(F.min("key_from").alias("low"), F.max("key_to").alias("high"), F.count_if(F.col("key_from").isNull()).alias("n_null")).first()
+    value = F.col(f"`{key}`")
+    found = value.isNull() if ends["n_null"] else F.lit(False)
+    if ends["low"] is None:
+        return found
+    step = max(1, -(-(ends["high"] - ends["low"] + 1) // _BOUNDS))
+    cell = _range_start(F.col("key_from") - F.lit(ends["low"]), step)
+    cells = ranges.filter(F.col("key_from").isNotNull()).groupBy(cell.alias("cell")).agg(F.min("key_from").alias("low"), F.max("key_to").alias("high"))
+    for row in cells.collect():
+        found = found | value.between(F.lit(row["low"]), F.lit(row["high"]))
+    return found
+
+
 def _ledger_changes(
     src: DataFrame, dst: DataFrame, parts: list[str], touched: DataFrame
 ) -> DataFrame:

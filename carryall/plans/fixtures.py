@@ -65,6 +65,13 @@ select task_id, catalog_name, db_name, tbl_name, coalesce(stg_format, '') stg_fo
  cast(shadow_watermark as bigint) shadow_watermark, migration_paused,
  coalesce(pause_reason, 'None') pause_reason, run_id, shadow_status, created_at, last_updated_time
 from queue""",
+    # Changes by several writers; one in four was made from an older row, one in five is for another name.
+    "changes": """
+select distinct task_id, catalog_name, db_name, case when l_linenumber % 5 = 0 then 'gone' else tbl_name end tbl_name,
+ 'READY' state, concat('run_', cast(l_linenumber as varchar(20))) run_id,
+ cast(case when l_linenumber % 4 = 0 then task_id % 3 + 1 else task_id % 3 end as bigint) version,
+ l_shipdate + interval '1' second * l_linenumber changed_at
+from jobs j join lineitem l on task_id = l_orderkey""",
     # One table has a third of all reads.
     "lineage": """
 select concat(case when k % 10 = 9 then 'testcat' else 'prodcat' end, '/',
@@ -72,7 +79,8 @@ select concat(case when k % 10 = 9 then 'testcat' else 'prodcat' end, '/',
   '/table_', cast(k as varchar(20))) source_name,
  case when event_type in ('view','click') then 'read' else 'write' end operation,
  case when user_id % 2 = 0 then concat('user_', cast(user_id as varchar(20)))
-      else concat('user_', cast(user_id as varchar(20)), '@example.com') end user_id
+      else concat('user_', cast(user_id as varchar(20)), '@example.com') end user_id,
+ cast(ts as date) as day
 from (select *, case when event_id % 3 = 0 then 7 else event_id % 1500 end k from events) e""",
     "catalog": """
 select catalog_name, db_name, tbl_name,

@@ -138,13 +138,13 @@ def _(spark, sf):
     return movement.in_sync(tables, fixture(spark, sf, "ledger"), _marks(spark, sf))
 
 
-@query(
-    "touched_partitions",
-    f"""with marks as ({_MARKS}), placed as (select l.table_name, max(committed_at) mark
+_TOUCHED = f"""with marks as ({_MARKS}), placed as (select l.table_name, max(committed_at) mark
   from ledger l join marks m on l.table_name = m.table_name and l.snapshot_id = m.watermark group by l.table_name)
 select distinct l.table_name, part from ledger l left join placed p on l.table_name = p.table_name
-where mark is null or committed_at > mark""",
-)
+where mark is null or committed_at > mark"""
+
+
+@query("touched_partitions", _TOUCHED)
 def _(spark, sf):
     found = movement.touched_partitions(_ledger(spark, sf), _marks(spark, sf))
     return found.select("table_name", F.col("partition_values")["part"].alias("part"))

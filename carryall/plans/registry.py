@@ -33,6 +33,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
     from carryall.plans import (  # noqa: F401
         catalog_queries,
         enrich_queries,
+        incremental_queries,
         lifecycle_queries,
         movement_queries,
         outbox_queries,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from carryall import vocabulary as v
 from carryall.functions import sets
+from carryall.functions.fingerprint import row_hash
 from carryall.functions.shards import number_rows
 from carryall.functions.times import moment
 from carryall.schemas import JOB, KEY, MUTABLE_COLUMNS
@@ -78,8 +79,9 @@ def upsert_jobs(jobs: DataFrame, changes: DataFrame, as_of) -> DataFrame:
     """Write changed jobs back by (task_id, name); unknown keys change nothing.
 
     One left join carries the new values to the rows they replace. ``changes``
-    holds each key once (see ``duplicate_keys``) and any subset of the mutable
-    columns; the others stay as they were.
+    holds each key once (see ``settle_changes``) and any subset of the mutable
+    columns; the others stay as they were. A ``version`` of the queue goes up by one
+    in every row that is changed.
     """
     key = ["task_id", *KEY]
     moved = [c for c in MUTABLE_COLUMNS if c in changes.columns and c in jobs.columns]
@@ -93,12 +95,54 @@ def upsert_jobs(jobs: DataFrame, changes: DataFrame, as_of) -> DataFrame:
             col = F.when(hit, F.col("__new")[name]).otherwise(F.col(name))
         elif name == "last_updated_time":
             col = F.when(hit, moment(as_of)).otherwise(F.col(name))
+        elif name == "version":
+            col = F.when(hit, F.coalesce(F.col(name), F.lit(0)) + 1).otherwise(F.col(name))
         else:
             col = F.col(name)
         out.append(col.alias(name))
     return jobs.join(new, key, "left").select(*out)
 
 
+def settle_changes(
+    jobs: DataFrame, changes: DataFrame, at: str = "changed_at"
+) -> tuple[DataFrame, DataFrame]:
+    """(changes to make, rejects with a reason) of changes by several writers.
+
+    Of the changes to one (task_id, name) the newest by ``at`` is made, the others come
+    back as 'superseded'; at equal times the one with the greatest hash counts, and equal
+    rows are one change. A change to a name that is not in the queue is 'unknown'. If the
+    queue has a ``version``, changes carry that of the row they were made from; where it is
+    not the row's any more, the change is 'stale', and does not stand in another's way.
+    ``upsert_jobs`` raises the version of each row that it changes.
+
+    The newest change is found by sums of fixed width, so a key that a third of all
+    changes have is never in one buffer; the joins leave it to AQE's skew split.
+    """
+    key = ["task_id", *KEY]
+    versioned = "version" in jobs.columns
+    facts = [F.lit(True).alias("__known"), *([F.max("version").alias("__now")] if versioned else [])]
+    known = jobs.groupBy(*key).agg(*facts)
+    held = changes.withColumn("__hash", row_hash(changes)).join(known, key, "left")
+    reason = F.when(F.col("__known").isNull(), "unknown")
+    if versioned:
+        reason = reason.when(~F.col("version").eqNullSafe(F.col("__now")), "stale")
+    held = held.withColumn("__reason", reason)
+    moment_of = F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(-(1 << 63)))
+    held = held.withColumn("__at", moment_of)
+    newest = (
+        held.filter("__reason is null")
+        .groupBy(*key, "__at")
+        .agg(F.max("__hash").alias("__best"))
+        .groupBy(*key)
+        .agg(F.max("__at").alias("__last"), F.max_by("__best", "__at").alias("__best"))
+    )
+    judged = held.join(newest, key, "left")
+    wins = F.col("__reason").isNull() & (F.col("__at") == F.col("__last")) & (F.col("__hash") == F.col("__best"))
+    made = judged.filter(wins).select(*changes.columns).distinct()
+    why = F.coalesce("__reason", F.lit("superseded")).alias("reason")
+    return made, judged.filter(~F.coalesce(wins, F.lit(False))).select(*changes.columns, why)
+
+
 def duplicate_keys(jobs: DataFrame) -> DataFrame:
     """Names that occur more than once in the queue (should be none)."""
     return jobs.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

@@ -196,6 +196,46 @@ def probe_tables(spark: SparkSession, keys: DataFrame, spell=None) -> DataFrame:
     return spark.createDataFrame(filled, ", ".join(f"{c} string" for c in KEY))
 
 
+def probe_folders(spark: SparkSession, located: DataFrame, provider: str = "parquet") -> DataFrame:
+    """Which of the tables in located(key columns, location) hold a row: their keys.
+
+    All folders are listed and read in one scan, so that the number of Spark jobs does not
+    grow with that of the tables. Of Parquet only the footers are read; a file of another
+    format counts as filled when it has a byte. A table may have several folders; files
+    below a folder count as well. A location that is null or not there holds no row. To
+    the driver come the locations.
+    """
+    wanted = located.filter(F.col("location").isNotNull()).select(*KEY, _plain(F.col("location")).alias("__root"))
+    wanted = pin(wanted, "located")
+    roots = [r["__root"] for r in wanted.select("__root").distinct().toLocalIterator()]
+    roots = [r for r in roots if _is_there(spark, r)]
+    if not roots:
+        return wanted.select(*KEY).limit(0)
+    if provider == "parquet":
+        files = spark.read.schema("__none int").option("recursiveFileLookup", True).parquet(*roots)
+        # The path of a file is written as in a URL.
+        written = F.regexp_replace("_metadata.file_path", "[+]", "%2B")
+        filled = files.select(F.url_decode(written).alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+        filled = files.filter("length > 0").select("path")
+    # Every folder above a file, so that files and tables meet by equality.
+    steps = F.split(_plain(F.col("path")), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+    held = filled.select(F.explode(above).alias("__root")).distinct()
+    return wanted.join(held, "__root", "left_semi").select(*KEY).distinct()
+
+
+def _plain(path):
+    """A location spelt in one way: local paths without their scheme, no closing slash."""
+    return F.regexp_replace(F.regexp_replace(path, "^file:/+", "/"), "/+$", "")
+
+
+def _is_there(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def dotted(catalog: str, db: str, tbl: str) -> str:
     return f"`{catalog}`.`{db}`.`{tbl}`"
 
