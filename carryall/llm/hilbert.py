@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from carryall.sources.tables import pin
 
@@ -49,42 +49,75 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _ordinal(df: DataFrame, name: str) -> Column:
-    """A column as a number in its own order: texts by their first seven bytes."""
+def _ordinal(df: DataFrame, name: str) -> Column | None:
+    """A column that is a number or a time as a number; None for any other."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
         return F.col(f"`{name}`").cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(f"`{name}`").cast("timestamp")).cast("double")
-    first = F.substring(F.col(f"`{name}`").cast("string").cast("binary"), 1, 7)
-    return F.conv(F.rpad(F.hex(first), 14, "0"), 16, 10).cast("double")
+    return None
 
 
-def _grid(df: DataFrame, names: list[str], bits: int) -> list[Column]:
-    """The cell of a row in each column: how many of the column's quantiles lie below it. Null is cell 0."""
+def _text(name: str) -> Column:
+    return F.col(f"`{name}`").cast("string")
+
+
+def value_cells(df: DataFrame, name: str, bits: int) -> DataFrame:
+    """(value, cell) of the distinct whole values of a column, as text and in its order.
+
+    The cell of a value is the share of all rows that have it or a lower one, so that
+    values with a common beginning, however long, are told apart. Values are counted,
+    dealt to ranges, and numbered behind the rows of all earlier ranges; to the driver
+    comes a sum a range.
+    """
+    counts = df.filter(_text(name).isNotNull()).groupBy(_text(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = pin(counts.repartitionByRange("value").withColumn("range", F.spark_partition_id()), "values")
+    before, total = [], 0
+    for row in ranged.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():
+        before.append((row["range"], total))
+        total += row["n"]
+    offsets = df.sparkSession.createDataFrame(before, "range int, before long")
+    upto = F.sum("n").over(Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    cell = F.expr(f"cast((before + upto - 1) * {1 << bits} div {max(1, total)} as int)")
+    return pin(ranged.withColumn("upto", upto).join(F.broadcast(offsets), "range").select("value", cell.alias("cell")), "cells")
+
+
+def _with_cells(df: DataFrame, rows: DataFrame, names: list[str], bits: int) -> DataFrame:
+    """Adds `cells` to rows that still have the columns: the cell of a row in each of them. Null is cell 0.
+
+    Numbers and times have as cell how many of the column's quantiles lie below.
+    """
+    numbers = {n: _ordinal(df, n) for n in names}
+    asked = [n for n in names if numbers[n] is not None]
     steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = df.agg(*[F.percentile_approx(_ordinal(df, n), steps, 10_000).alias(str(k)) for k, n in enumerate(names)]).first()
+    found = df.agg(*[F.percentile_approx(numbers[n], steps, 10_000).alias(str(k)) for k, n in enumerate(asked)]).first() if asked else []
+    cuts = {n: sorted(set(found[k] or [])) for k, n in enumerate(asked)}
     cells = []
     for k, name in enumerate(names):
-        cuts = sorted(set(found[k] or []))
-        value = _ordinal(df, name)
-        if cuts:
-            below = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= value))
+        value = numbers[name]
+        if value is None:
+            of_value = value_cells(df, name, bits).select(F.col("value").alias(f"__value{k}"), F.col("cell").alias(f"__cell{k}"))
+            # Small enough to be broadcast, or too big for it: the planner knows the size of a written table.
+            rows = rows.join(of_value, _text(name) == F.col(f"__value{k}"), "left")
+            cells.append(F.coalesce(f"__cell{k}", F.lit(0)))
+        elif cuts[name]:
+            below = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts[name]]), lambda c: c <= value))
             cells.append(F.coalesce(F.when(value.isNotNull(), below), F.lit(0)).cast("int"))
         else:
             cells.append(F.lit(0))
-    return cells
+    return rows.withColumn("__cells", F.array(*cells) if cells else F.array(F.lit(0)))
 
 
 def placed(docs: DataFrame, dimensions=DIMENSIONS, bits: int = BITS) -> DataFrame:
     """doc_id, size, text_crc32, the grid cells and the place on the curve (`curve`) of every row."""
     names = [d for d in dimensions if d in docs.columns]
     text = F.col("text").cast("string")
-    base = docs.select(
+    base = _with_cells(docs, docs, names, bits).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("long").alias("text_crc32"),
-        F.array(*_grid(docs, names, bits)).alias("cells") if names else F.array(F.lit(0)).alias("cells"),
+        F.col("__cells").alias("cells"),
     )
 
     @F.pandas_udf("long")
@@ -108,7 +141,9 @@ def shards(docs: DataFrame, n_shards: int = SHARDS, dimensions=DIMENSIONS, bits:
     rows get a slot each. An empty table gives no rows.
     """
     order = ["curve", "text_crc32", "doc_id"]
-    rows = placed(docs, dimensions, bits).drop("cells")
+    # Repeated rows are told apart by a number that is written down, so that they fill many ranges.
+    rows = pin(placed(docs, dimensions, bits).drop("cells").withColumn("row", F.monotonically_increasing_id()), "placed")
+    order = [*order, "row"]
     ranged = pin(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranged")
     sizes = {r["range"]: r["n"] for r in ranged.groupBy("range").agg(F.count("*").alias("n")).collect()}
     before, total = [], 0
@@ -117,8 +152,6 @@ def shards(docs: DataFrame, n_shards: int = SHARDS, dimensions=DIMENSIONS, bits:
         total += sizes[k]
     spark = docs.sparkSession
     offsets = spark.createDataFrame(before, "range int, before long")
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
     rank = F.col("before") + F.col("place")
     exact = F.expr(f"cast((rank * {n_shards}L) div {max(1, total)}L as int)")
