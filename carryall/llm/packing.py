@@ -128,14 +128,15 @@ def pack(
     is packed like any other; repeated rows are packed each. An empty table gives no
     pieces. Other columns are not read.
     """
-    found = pin(_pieces(docs, tokenizer_path(tokenizer), end, capacity, piece), "pieces")
+    numbered = _pieces(docs, tokenizer_path(tokenizer), end, capacity, piece).withColumn("row", F.monotonically_increasing_id())
+    found = pin(numbered, "pieces")
     is_full = F.col("length") == capacity
     n = max(1, found.where(~is_full).count() // group)
-    # Repeated rows share a group number only as far as their places agree.
-    key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(n))
+    # By the number of the row, as it was written: repeated rows are spread like any others.
+    key = F.pmod(F.xxhash64("row"), F.lit(n))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    rests = found.where(~is_full).withColumn("grp", key).groupBy("grp").applyInArrow(lambda t: _pack(t, capacity), schema)
-    full = found.where(is_full).select(
+    rests = found.where(~is_full).withColumn("grp", key).drop("row").groupBy("grp").applyInArrow(lambda t: _pack(t, capacity), schema)
+    full = found.where(is_full).drop("row").select(
         "*", (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return rests.unionByName(full)
