@@ -55,9 +55,11 @@ def write_tokens(
     """Writes the ids of all documents, in ascending doc_id order, as Parquet files.
 
     The texts are dealt by ranges of doc_id and encoded there, so that the longer
-    lists of ids are never moved. Rows without doc_id come first.
+    lists of ids are never moved. Rows without doc_id come first. Rows of one doc_id, or
+    without any, are told apart by their place in the input and may fill many ranges.
     """
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("__row"))
+    rows = numbered.repartitionByRange("doc_id", "__row").sortWithinPartitions("doc_id", "__row").drop("__row")
     (
         encoded(rows, tokenizer, end)
         .write.option("parquet.writer.version", "v2")
