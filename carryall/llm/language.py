@@ -161,9 +161,9 @@ def train(docs: DataFrame, vocabulary: str = VOCABULARY, bound: int = TRAINED) -
     ).where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     known = known.where(remainder(F.col("doc_id"), 4) != 2)
     sizes = {r["lang"]: r["n"] for r in known.drop("text").groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    spark = docs.sparkSession
-    limits = spark.createDataFrame([(k, int(min(1.0, bound / n) * (1 << 30))) for k, n in sizes.items()], "lang string, most long")
-    drawn = known.join(limits, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("most")).select("lang", "text")
+    limits = docs.sparkSession.createDataFrame([(k, int(min(1.0, bound / n) * (1 << 30))) for k, n in sizes.items()], "lang string, most long")
+    # A row a language, as many as the model has: texts stay where they are.
+    drawn = known.join(F.broadcast(limits), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("most")).select("lang", "text")
 
     def count(batches):
         for batch in batches:
