@@ -24,9 +24,8 @@ VOCABULARY = "piece_bpe_32k.model"
 # Training documents of a language, at most about.
 TRAINED = 1_000
 ROUNDS = 3
-# Bytes of the longest piece, and of the parts that longer words are cut into.
-LONGEST = 12
-PART = 32
+# Bytes of equally long words that are taken together.
+_CELLS = 1 << 19
 UNKNOWN = "und"
 # Distinct words whose probabilities a worker remembers.
 _REMEMBERED = 300_000
@@ -43,7 +42,8 @@ def vocabulary_pieces(path: str) -> list[bytes]:
     for k in range(model.get_piece_size()):
         if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k)):
             piece = model.id_to_piece(k).replace("▁", " ").lower().encode()
-            if 0 < len(piece) <= LONGEST:
+            # Words hold no blank but the one that marks their beginning.
+            if piece and b" " not in piece[1:]:
                 found.add(piece)
     return sorted(found)
 
@@ -56,9 +56,17 @@ class Pieces:
         self.order = np.argsort(keys)
         self.keys = keys[self.order]
         self.some = np.zeros(1 << 22, bool)
-        self.some[(keys >> np.uint64(42)).astype(np.int64)] = True
+        self.some[self._slot(keys)] = True
+        #: Where runs that some longer piece begins with may be.
+        self.more = np.zeros(1 << 22, bool)
+        for begun in {p[:k] for p in pieces for k in range(1, len(p))}:
+            self.more[self._slot(self._key(np.frombuffer(begun, np.uint8)[None, :]))] = True
         self.longest = max(map(len, pieces))
 
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(42)).astype(np.int64)
+
     @staticmethod
     def _key(runs: np.ndarray) -> np.ndarray:
         h = np.zeros(len(runs), np.uint64)
@@ -67,22 +75,33 @@ class Pieces:
             h ^= h >> np.uint64(29)
         return mix(h)
 
-    def edges(self, words: np.ndarray):
-        """(start, end, rows, pieces): the rows of equally long words that have a piece there."""
-        n, length = words.shape
-        for start in range(length):
-            h = np.zeros(n, np.uint64)
-            for end in range(start + 1, min(length, start + self.longest) + 1):
-                h = (h + words[:, end - 1]) * _FACTOR
+    def edges(self, words: np.ndarray, sizes: np.ndarray):
+        """(start, [(end, rows, pieces)]) for each start: the rows that have a piece there.
+
+        A row of `words` is a word of sizes[row] bytes; rows ascend by size.
+        """
+        for start in range(words.shape[1]):
+            rows = np.arange(np.searchsorted(sizes, start, "right"), len(words))
+            h = np.zeros(len(rows), np.uint64)
+            found = []
+            for end in range(start + 1, min(words.shape[1], start + self.longest) + 1):
+                inside = np.searchsorted(sizes[rows], end)
+                rows, h = rows[inside:], h[inside:]
+                h = (h + words[rows, end - 1]) * _FACTOR
                 h ^= h >> np.uint64(29)
                 key = mix(h)
-                rows = np.flatnonzero(self.some[(key >> np.uint64(42)).astype(np.int64)])
+                slot = self._slot(key)
+                some = np.flatnonzero(self.some[slot])
+                if len(some):
+                    at = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
+                    ok = self.keys[at] == key[some]
+                    if ok.any():
+                        found.append((end, rows[some[ok]], self.order[at[ok]]))
+                go = self.more[slot]
+                rows, h = rows[go], h[go]
                 if not len(rows):
-                    continue
-                at = np.minimum(np.searchsorted(self.keys, key[rows]), len(self.keys) - 1)
-                ok = self.keys[at] == key[rows]
-                if ok.any():
-                    yield start, end, rows[ok], self.order[at[ok]]
+                    break
+            yield start, found
 
 
 @dataclass
@@ -92,61 +111,76 @@ class Model:
     #: Probabilities: a row per piece, a column per language.
     p: np.ndarray
 
-    def words(self, words: np.ndarray) -> np.ndarray:
-        """Log probability of equally long words (rows of bytes) in each language."""
+    def words(self, words: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of words (rows of bytes, ascending by size) in each language.
+
+        Forward values are kept as logarithms, and only for as many places as the
+        longest piece has bytes; so words of any length are summed over whole.
+        """
         n, length = words.shape
-        alpha = np.zeros((length + 1, n, self.p.shape[1]))
-        alpha[0] = 1
-        # Edges come by start, and all that end at a start have been added by then.
-        for start, end, rows, pieces in self.pieces.edges(words):
-            alpha[end, rows] += alpha[start, rows] * self.p[pieces]
-        return np.log(alpha[length])
-
-
-def cut_words(words) -> tuple[list[bytes], np.ndarray]:
-    """Parts of words of at most PART bytes, the first of each after a space; and the word of each."""
-    out: list[bytes] = []
-    of: list[int] = []
-    for k, w in enumerate(words):
-        w = b" " + w
-        for a in range(0, len(w), PART):
-            out.append(w[a : a + PART])
-            of.append(k)
-    return out, np.array(of, np.int64)
-
-
-def by_length(parts: list[bytes]):
-    """(indices, rows of bytes) of the parts of each length."""
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    for n in np.unique(sizes):
-        at = np.flatnonzero(sizes == n)
-        for a in range(0, len(at), 1 << 14):
-            some = at[a : a + (1 << 14)]
-            yield some, np.frombuffer(b"".join([parts[k] for k in some]), np.uint8).reshape(len(some), n)
+        sizes = np.full(n, length) if sizes is None else sizes
+        places = self.pieces.longest + 1
+        logs = np.log(self.p)
+        alpha = np.full((min(places, length + 1), n, self.p.shape[1]), -np.inf)
+        places = len(alpha)
+        alpha[0] = 0
+        out = np.zeros((n, self.p.shape[1]))
+        # All pieces that end at a start begin before it, so it is complete by then.
+        for start, found in self.pieces.edges(words, sizes):
+            here = alpha[start % places].copy()
+            alpha[start % places] = -np.inf
+            for end, rows, ids in found:
+                alpha[end % places, rows] = np.logaddexp(alpha[end % places, rows], here[rows] + logs[ids])
+            ended = slice(*np.searchsorted(sizes, [start + 1, start + 2]))
+            out[ended] = alpha[(start + 1) % places, ended]
+        return out
+
+
+def by_size(words: list[bytes]):
+    """(indices, rows of bytes, sizes) of words of about one length, ascending by size; rows are padded."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(sizes, kind="stable")
+    ascending = sizes[order]
+    a = 0
+    while a < len(order):
+        limit = ascending[a] + ascending[a] // 4
+        b = min(int(np.searchsorted(ascending, limit, "right")), a + max(1, _CELLS // int(limit)))
+        some = order[a:b]
+        rows = np.zeros((len(some), ascending[b - 1]), np.uint8)
+        rows[np.arange(rows.shape[1]) < ascending[a:b, None]] = np.frombuffer(b"".join([words[k] for k in some]), np.uint8)
+        yield some, rows, ascending[a:b]
+        a = b
 
 
 def train_pieces(pieces: Pieces, n_pieces: int, words: list[bytes], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of one language from words and their counts."""
-    parts, of = cut_words(words)
-    weight = counts[of].astype(np.float64)
-    groups = [(w, list(pieces.edges(rows)), rows.shape[1]) for at, rows in by_length(parts) for w in [weight[at]]]
+    groups = []
+    for at, rows, sizes in by_size([b" " + w for w in words]):
+        groups.append((counts[at].astype(np.float64), list(pieces.edges(rows, sizes)), sizes))
     p = np.full(n_pieces, 1.0)
     for k in range(rounds + 1):
         expected = np.zeros(n_pieces)
-        for w, edges, length in groups:
+        logs = np.log(p)
+        for w, edges, sizes in groups:
             if k == 0:
-                for _, _, rows, ids in edges:
-                    np.add.at(expected, ids, w[rows])
+                for _, found in edges:
+                    for _, rows, ids in found:
+                        np.add.at(expected, ids, w[rows])
                 continue
-            alpha, beta = np.zeros((length + 1, len(w))), np.zeros((length + 1, len(w)))
-            alpha[0], beta[length] = 1, 1
-            for start, end, rows, ids in edges:
-                alpha[end, rows] += alpha[start, rows] * p[ids]
-            for start, end, rows, ids in reversed(edges):
-                beta[start, rows] += beta[end, rows] * p[ids]
-            share = w / alpha[length]
-            for start, end, rows, ids in edges:
-                np.add.at(expected, ids, alpha[start, rows] * p[ids] * beta[end, rows] * share[rows])
+            each = np.arange(len(w))
+            alpha, beta = np.full((sizes[-1] + 1, len(w)), -np.inf), np.full((sizes[-1] + 1, len(w)), -np.inf)
+            alpha[0], beta[sizes, each] = 0, 0
+            for start, found in edges:
+                for end, rows, ids in found:
+                    alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + logs[ids])
+            for start, found in reversed(edges):
+                for end, rows, ids in found:
+                    beta[start, rows] = np.logaddexp(beta[start, rows], beta[end, rows] + logs[ids])
+            total = alpha[sizes, each]
+            for start, found in edges:
+                for end, rows, ids in found:
+                    share = np.exp(alpha[start, rows] + logs[ids] + beta[end, rows] - total[rows])
+                    np.add.at(expected, ids, share * w[rows])
         p = (expected + 0.01) / (expected.sum() + 0.01 * n_pieces)
     return p
 
@@ -208,12 +242,9 @@ class _Memory:
         out[known] = self.logs[at[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            parts, of = cut_words([words.raw(k) for k in firsts[new]])
-            logs = np.zeros((len(parts), out.shape[1]))
-            for some, rows in by_length(parts):
-                logs[some] = self.model.words(rows)
-            for k in range(out.shape[1]):
-                out[new, k] = np.bincount(of, logs[:, k], len(new))
+            spelled = [b" " + words.raw(k) for k in firsts[new]]
+            for some, rows, sizes in by_size(spelled):
+                out[new[some]] = self.model.words(rows, sizes)
             if len(self.keys) + len(new) > _REMEMBERED:
                 self.keys, self.logs = self.keys[:0], self.logs[:0]
             keys_, logs_ = np.concatenate((self.keys, keys[new])), np.concatenate((self.logs, out[new].astype(np.float32)))
@@ -245,7 +276,9 @@ def languages(docs: DataFrame, vocabulary: str = VOCABULARY, bound: int = TRAINE
     lang, source and doc_id are no inputs of a prediction. A text that is null or has
     no letter is 'und' with score 0, and so are all texts if none can be learned from.
     Ties go to the first language by name. A row without doc_id is predicted and not
-    held out; repeated rows are predicted each. An empty table gives no rows.
+    held out; repeated rows are predicted each. An empty table gives no rows. Words of
+    any length are summed over whole, with all pieces of the vocabulary. Other columns
+    are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, vocabulary, bound))
 
