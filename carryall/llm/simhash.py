@@ -117,34 +117,32 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     high, low = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(0xFFFFFFFF)
     classed = distinct.select("fp", "rep", (_bits(high) * _HALF + _bits(low)).alias("c"))
-    sizes = {r["c"]: r["n"] for r in classed.groupBy("c").agg(F.count("*").alias("n")).collect()}
-    cut = {c: -(-n // CLASS_ROWS) for c, n in sizes.items()}
-    jobs: list[tuple[int, int, int, int]] = []
-    for c in cut:
-        for d in cut:
-            gap = abs(c // _HALF - d // _HALF) + abs(c % _HALF - d % _HALF)
-            if c <= d and gap <= radius:
-                jobs += [(c, p, d, q) for p in range(cut[c]) for q in range(cut[d]) if c < d or p <= q]
-    # At most 33 x 33 classes, so the lists below have a bounded length up to
-    # CLASS_ROWS distinct fingerprints a class, and grow with the square of the parts.
-    seats: dict[tuple[int, int], list[tuple[int, int, bool]]] = {}
-    for k, (c, p, d, q) in enumerate(jobs):
-        seats.setdefault((c, p), []).append((k, 0, (c, p) == (d, q)))
-        if (c, p) != (d, q):
-            seats.setdefault((d, q), []).append((k, 1, False))
-    spark = distinct.sparkSession
-    rows = [(c, p, [{"job": k, "side": s, "same": z} for k, s, z in v]) for (c, p), v in seats.items()]
-    plan = spark.createDataFrame(rows, "c int, part int, jobs array<struct<job int, side int, same boolean>>")
-    parts = spark.createDataFrame(list(cut.items()) or [(-1, 1)], "c int, n int")
-    part = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
+    sizes = {r["c"]: -(-r["n"] // CLASS_ROWS) for r in classed.groupBy("c").agg(F.count("*").alias("n")).collect()}
+
+    def near(c: int, d: int) -> bool:
+        return abs(c // _HALF - d // _HALF) + abs(c % _HALF - d % _HALF) <= radius
+
+    # At most 33 x 33 classes, each with the classes in reach and their parts: a table
+    # of that size whatever the input. The pairs of parts are made from it in Spark.
+    plan = [(c, n, [{"c": d, "n": m} for d, m in sizes.items() if near(c, d)]) for c, n in sizes.items()]
+    mates = distinct.sparkSession.createDataFrame(plan, "c int, n int, mates array<struct<c int, n int>>")
+    mine = F.struct(F.col("c").alias("c"), F.col("part").alias("part"))
+    other = F.struct(F.col("mate.c").alias("c"), F.col("q").alias("part"))
     dealt = (
-        classed.join(F.broadcast(parts), "c")
-        .withColumn("part", part)
-        .join(F.broadcast(plan), ["c", "part"])
-        .select("fp", "rep", F.explode("jobs").alias("j"))
-        .select("fp", "rep", "j.job", "j.side", "j.same")
+        classed.join(F.broadcast(mates), "c")
+        .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
+        .select("fp", "rep", "c", "part", F.explode("mates").alias("mate"))
+        .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("mate.n") - 1)))
+        .select(
+            "fp",
+            "rep",
+            F.least(mine, other).alias("one"),
+            F.greatest(mine, other).alias("two"),
+            F.when(mine <= other, 0).otherwise(1).alias("side"),
+            (mine == other).alias("same"),
+        )
     )
-    return dealt.groupBy("job").applyInArrow(lambda t: _forest(t, radius), "a long, b long")
+    return dealt.groupBy("one", "two").applyInArrow(lambda t: _forest(t, radius), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
