@@ -177,7 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINED, metadata=MET
     """A machine trained on labelled documents whose id's crc32 modulo 4 is not 2.
 
     At most about `bound` of them, drawn by a hash of their ids. Labels are `quality`
-    0 or 1; null ones are skipped, and of several for one id the lowest counts.
+    0 or 1; null ones are skipped, and of several for one id the lowest counts. Of
+    several rows with one id one is learned from.
     Without any labelled document the machine gives one half for all.
     """
     names = [m for m in metadata if m in docs.columns]
@@ -208,8 +209,12 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINED, metadata=MET
                     ["doc_id", "y", "buckets", "numbers", "dense"],
                 )
 
-    # About `bound` rows at most: broadcast, and collected once they are numbers.
-    found = rows.join(F.broadcast(drawn), "doc_id").mapInArrow(of, "doc_id long, y double, buckets binary, numbers binary, dense binary")
+    # About `bound` ids at most are broadcast. Of repeated ids the least row by its hash
+    # is taken, so that no more rows are collected, once they are numbers.
+    each = rows.join(F.broadcast(drawn), "doc_id")
+    rest = [c for c in each.columns if c != "doc_id"]
+    once = each.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")).select("doc_id", "row.*")
+    found = once.mapInArrow(of, "doc_id long, y double, buckets binary, numbers binary, dense binary")
     table = found.toArrow().sort_by("doc_id")
     machine = FactorisationMachine(len(STATISTICS) + n)
     if table.num_rows:
