@@ -1,8 +1,9 @@
 """Near-duplicate vectors by a forest of random projection trees.
 
 Every tree splits the vectors again and again at the median of a random projection;
-those near a split go to both sides. The splits are fitted on a bounded sample, and
-all vectors are sent down all trees. Vectors are compared exactly within leaves, and
+those near a split go to both sides. The first splits are fitted on a bounded sample,
+and all vectors are sent down all trees; a leaf that holds too many is split again at
+the medians of its own vectors, round by round. Vectors are compared exactly within leaves, and
 a pair that shares several leaves counts in the first of them only. Of the links of a
 leaf, the number per vector and a spanning forest leave it.
 """
@@ -13,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from carryall.llm.components import connected_components, roots, unite
 from carryall.sources.tables import pin
@@ -26,9 +27,16 @@ LEAF = 512
 SPILL = 0.0125
 # Distinct vectors that the splits are fitted on, at most about.
 SAMPLE = 20_000
-# Vectors of a leaf that are compared in one task: of a larger one, all pairs of parts are.
+# A leaf of more vectors is split again on all of them.
+FULL = 4096
+# Vectors of a leaf that are compared in one task: of a larger one, which could not be
+# split, as its vectors are too near each other, all pairs of parts are.
 PART = 4096
+# A split that leaves a larger share of a leaf on one side is none.
+_MOST = 0.8
 _BLOCK = 1024
+_WHERE = ["label", "size", "leaf"]
+_NONE = np.iinfo(np.int64).max
 
 
 @dataclass
@@ -63,7 +71,7 @@ class Forest:
             cut = float(np.median(at))
             low, high = rows[at <= cut + self.spill], rows[at > cut - self.spill]
             # Vectors so near each other that most go both ways are one leaf.
-            if max(len(low), len(high)) > 0.8 * len(rows):
+            if max(len(low), len(high)) > _MOST * len(rows):
                 continue
             self.directions[k], self.cuts[k] = way, cut
             self.below[k], self.above[k] = self._node(), self._node()
@@ -114,37 +122,82 @@ def _route(batches, forests: dict[int, Forest]):
             vectors = part.column("embedding").flatten().to_numpy().astype(np.float64).reshape(-1, size)
             # Of a length that the sample has none of, all are one leaf.
             found = forests[size].leaves(unit_rows(vectors)) if size in forests else [[0]] * len(vectors)
-            rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            bodies = pa.array([np.array(x, np.int32).tobytes() for x in found], pa.binary())
-            data = pa.array([v.tobytes() for v in vectors], pa.binary())
-            at = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("label").take(at),
-                    pa.array(np.full(len(rows), size, np.int32)),
-                    pa.array(np.array([k for x in found for k in x], np.int32)),
-                    part.column("rep").take(at),
-                    part.column("copies").take(at),
-                    data.take(at),
-                    bodies.take(at),
+                    part.column("label"),
+                    pa.array(np.full(len(found), size, np.int32)),
+                    part.column("rep"),
+                    part.column("copies"),
+                    pa.array([v.tobytes() for v in vectors], pa.binary()),
+                    pa.array(found, pa.list_(pa.int64())),
                 ],
-                ["label", "size", "leaf", "rep", "copies", "vector", "leaves"],
+                ["label", "size", "rep", "copies", "vector", "leaves"],
             )
 
 
+def _project(batches):
+    """Adds `at`: each vector's place along the random direction of its leaf."""
+    for batch in batches:
+        leaf, size = batch.column("leaf").to_numpy(), batch.column("size").to_numpy()
+        data = batch.column("vector").to_pylist()
+        at = np.zeros(batch.num_rows)
+        for k, n in {*zip(leaf.tolist(), size.tolist())}:
+            rows = np.flatnonzero((leaf == k) & (size == n))
+            way = np.random.default_rng([k & 0xFFFFFFFFFFFFFFFF, n]).normal(size=n)
+            unit = unit_rows(np.frombuffer(b"".join([data[r] for r in rows]), np.float64).reshape(-1, n))
+            at[rows] = unit @ (way / np.linalg.norm(way))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], [*batch.schema.names, "at"])
+
+
+def _larger(rows: DataFrame, most: int) -> DataFrame:
+    return pin(rows.groupBy(*_WHERE).agg(F.count("*").alias("n")).where(F.col("n") > most), "large")
+
+
+def _split_again(rows: DataFrame, large: DataFrame, spill: float, full: int) -> DataFrame:
+    """(rep, leaves) of every vector, after the `large` leaves have been split as far as they can be.
+
+    A round sends each vector of an over-full leaf along the leaf's own random
+    direction, cuts at the median there, and gives both sides, which overlap by the
+    spill, leaves of their own. A leaf that would leave most of its vectors on one
+    side stays as it is. Sides shrink by a fifth or more, so rounds grow with the
+    logarithm of the largest leaf; only vectors of over-full leaves are written.
+    """
+    done = rows.join(large, _WHERE, "left_anti").select("rep", "leaf")
+    todo = rows.join(large, _WHERE, "left_semi").select(*_WHERE, "rep", "vector")
+    while True:
+        schema = T.StructType([*todo.schema, T.StructField("at", T.DoubleType())])
+        placed = pin(todo.mapInArrow(_project, schema), "placed")
+        cuts = placed.groupBy(*_WHERE).agg(F.percentile_approx("at", 0.5, 1000).alias("cut"))
+        below, above = F.col("at") <= F.col("cut") + spill, F.col("at") > F.col("cut") - spill
+        sides = placed.select(*_WHERE, "at").join(cuts, _WHERE).groupBy(*_WHERE, "cut")
+        sides = sides.agg(F.count("*").alias("n"), F.count_if(below).alias("below"), F.count_if(above).alias("above"))
+        plan = pin(sides.withColumn("splits", F.greatest("below", "above") <= _MOST * F.col("n")), "splits")
+        both = placed.join(plan.where("splits"), _WHERE)
+        side = F.explode(F.array_compact(F.array(F.when(below, F.lit(0)), F.when(above, F.lit(1)))))
+        both = both.withColumn("side", side).withColumn("open", F.when(F.col("side") == 0, F.col("below")).otherwise(F.col("above")) > full)
+        both = both.withColumn("leaf", F.xxhash64("leaf", "side"))
+        done = done.unionByName(placed.join(plan.where("NOT splits"), _WHERE).select("rep", "leaf"))
+        done = done.unionByName(both.where("NOT open").select("rep", "leaf"))
+        if plan.where(F.col("splits") & (F.greatest("below", "above") > full)).isEmpty():
+            break
+        todo = both.where("open").select(*_WHERE, "rep", "vector")
+    # As many leaves a vector as trees, and those of the spill.
+    return done.groupBy("rep").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+
+
 def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least number that rows a[k] and b[k] have in common; both ascend and are padded with -1."""
-    first = np.full(len(a), np.iinfo(np.int32).max, np.int32)
+    """The least number that rows a[k] and b[k] have in common; both ascend and are padded with _NONE."""
+    first = np.full(len(a), _NONE, np.int64)
     for k in range(a.shape[1]):
-        has = (b == a[:, k, None]).any(1) & (a[:, k] >= 0)
+        has = (b == a[:, k, None]).any(1)
         first = np.where(has, np.minimum(first, a[:, k]), first)
     return first
 
 
 def _compare(table: pa.Table, threshold: float) -> pa.Table:
     vectors = unit_rows(np.frombuffer(b"".join(table["vector"].to_pylist()), np.float64).reshape(table.num_rows, -1))
-    lists = [np.frombuffer(x, np.int32) for x in table["leaves"].to_pylist()]
-    leaves = np.full((len(lists), max(map(len, lists))), -1, np.int32)
+    lists = table["leaves"].to_pylist()
+    leaves = np.full((len(lists), max(map(len, lists))), _NONE, np.int64)
     for k, x in enumerate(lists):
         leaves[k, : len(x)] = x
     leaf = table["leaf"][0].as_py()
@@ -174,7 +227,13 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE
+    vectors: DataFrame,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    leaf: int = LEAF,
+    spill: float = SPILL,
+    sample: int = SAMPLE,
+    full: int = FULL,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector.
 
@@ -183,7 +242,7 @@ def near_vectors(
     or has null or non-finite components, links with nothing; nor do vectors of
     different lengths. n_links counts other vectors, copies included; component_id is
     the least id reachable, kept whether it is the vector's own. Copies are compared
-    once. A table without vectors gives no rows.
+    once. A table without vectors gives no rows. Other columns are not read.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(_usable(F.col("embedding")), F.lit(False))
@@ -200,22 +259,27 @@ def near_vectors(
     kind = reps.schema["label"].dataType.simpleString()
     routed = reps.mapInArrow(
         lambda b: _route(b, shared.value),
-        f"label {kind}, size int, leaf int, rep long, copies long, vector binary, leaves binary",
+        f"label {kind}, size int, rep long, copies long, vector binary, leaves array<long>",
     )
-    where = ["label", "size", "leaf"]
-    large = pin(routed.groupBy(*where).agg(F.count("*").alias("n")).where(F.col("n") > PART), "large")
+    spread = routed.withColumn("leaf", F.explode("leaves"))
+    large = _larger(spread.select(*_WHERE), min(full, PART))
+    over = large.where(F.col("n") > full)
+    if not over.isEmpty():
+        routed = routed.drop("leaves").join(pin(_split_again(spread, over, spill, full), "leaves"), "rep")
+        spread = routed.withColumn("leaf", F.explode("leaves"))
+        large = _larger(spread.select(*_WHERE), PART)
     cut = F.coalesce(F.ceil(F.col("n") / PART), F.lit(1)).cast("int")
     # Each vector of a large leaf goes to all pairs of parts that its own part is in.
     dealt = (
-        routed.join(large, where, "left")
+        spread.join(large, _WHERE, "left")
         .withColumn("parts", cut)
         .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("one", F.least("part", "other"))
         .withColumn("two", F.greatest("part", "other"))
-        .select(*where, "rep", "copies", "vector", "leaves", "part", "one", "two")
+        .select(*_WHERE, "rep", "copies", "vector", "leaves", "part", "one", "two")
     )
-    links = pin(dealt.groupBy(*where, "one", "two").applyInArrow(lambda t: _compare(t, threshold), "a long, b long, n long"), "links")
+    links = pin(dealt.groupBy(*_WHERE, "one", "two").applyInArrow(lambda t: _compare(t, threshold), "a long, b long, n long"), "links")
     found = connected_components(links.select("a", "b"))
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     named = (
