@@ -3,8 +3,9 @@
 Each batch of documents is a shard: the word sequences of its documents, and an array
 of their suffixes in order. Every suffix of every benchmark item is looked up in each
 shard by binary search; its neighbours there hold its longest verbatim match, and the
-suffixes that begin with a whole window give all its places. Only suffixes that begin
-like some benchmark suffix are sorted, as no other can match.
+suffixes that begin with a whole window give all its places. Windows that follow each
+other both in the document and in the item make one match, however long. Only suffixes
+that begin like some benchmark suffix are sorted, as no other can match.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ class Queries:
 
     keys: a row per suffix, its first `width` words (0: behind the item's end);
     lengths: words of each suffix up to `width`; window: whether the suffix is one of
-    the item's windows; items: its item. Repeated suffixes of one item stay apart.
+    the item's windows; items: its item; of: the item's place in the block; starts: the
+    suffix's first word in the item. Repeated suffixes of one item stay apart.
     """
 
     def __init__(self, items: list[tuple[int | None, str | None]], width: int) -> None:
@@ -46,6 +48,8 @@ class Queries:
         self.keys = keys
         self.lengths = np.minimum(left, width)
         first = np.arange(n) == words.bounds[of]
+        self.of = of
+        self.starts = np.arange(n) - words.bounds[of]
         self.window = (left >= width) | first & (left == words.counts[of])
         self.items = np.array([-1 if i is None else i for i, _ in items], np.int64)[of]
         self.named = np.array([i is not None for i, _ in items], bool)[of]
@@ -65,9 +69,13 @@ def _ordered(keys: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """The suffix array of a column of texts, as far as suffixes begin like `queries`."""
+    """The suffix array of a column of texts, as far as suffixes begin like `queries`.
 
-    def __init__(self, texts, queries: Queries) -> None:
+    With `all_words` every suffix that begins with a word of the queries is in it, else
+    those only that can hold a window.
+    """
+
+    def __init__(self, texts, queries: Queries, all_words: bool = False) -> None:
         self.words: Words = split(texts, NOT_ALNUM, lower=True)
         hashes, width = self.words.hashes, queries.width
         vocabulary = queries.vocabulary
@@ -84,7 +92,7 @@ class Shard:
         after = np.concatenate((ids[1:], [0])).astype(np.uint32)
         after[np.arange(n) + 1 >= ends] = 0
         begins = ids > 0
-        if queries.shortest > 1:
+        if queries.shortest > 1 and not all_words:
             pair = _pair(ids, after)
             near = np.minimum(np.searchsorted(queries.pairs, pair), max(0, len(queries.pairs) - 1))
             begins &= queries.pairs[near] == pair
@@ -120,26 +128,51 @@ class Shard:
             longest[ok] = np.maximum(longest[ok], np.cumprod(same, axis=1).sum(1))
         return a, b, longest
 
-    def hits(self, queries: Queries):
-        """(text, first word, words, item, item has an id) of every window found, once a place and item."""
+    def hits(self, queries: Queries) -> tuple[np.ndarray, np.ndarray]:
+        """(query suffix, suffix's first word in the shard) of every window found."""
         a, b, _ = self.matches(queries)
-        for q in np.flatnonzero(queries.window & (b > a)):
-            at = self.at[a[q] : b[q]]
-            yield self.of[at], at - self.words.bounds[self.of[at]], int(queries.lengths[q]), int(queries.items[q]), bool(queries.named[q])
+        q = np.flatnonzero(queries.window & (b > a))
+        n = (b - a)[q]
+        ends = np.cumsum(n)
+        at = np.arange(n.sum()) - np.repeat(ends - n, n) + np.repeat(a[q], n)
+        return np.repeat(q, n), self.at[at]
+
+    def longest(self, queries: Queries, q: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query suffix, first word in the shard, words) of the matches that `hits` lie on, each as long as it goes."""
+        order = np.lexsort((q, at - q))
+        q, at = q[order], at[order]
+        new = np.ones(len(q), bool)
+        new[1:] = (q[1:] != q[:-1] + 1) | (at[1:] != at[:-1] + 1) | (queries.of[q[1:]] != queries.of[q[:-1]]) | (self.of[at[1:]] != self.of[at[:-1]])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(q)) - 1 if len(q) else first
+        return q[first], at[first], last - first + queries.lengths[q[last]]
+
+
+_FOUND = ["best_words", "best_start", "best_item", "best_item_start"]
 
 
 def _find(batches, queries: Queries, all_rows: bool):
-    """Per document: its words, where windows occur (first word, words), and their items."""
+    """Per document: its words, where windows occur (first word, words), their items, and its longest match."""
     for batch in batches:
         for part in by_bytes(batch, "text"):
             shard = Shard(part.column("text"), queries)
             places: list[set] = [set() for _ in range(part.num_rows)]
             items: list[set] = [set() for _ in range(part.num_rows)]
-            for of, first, width, item, named in shard.hits(queries):
-                for i, f in zip(of.tolist(), first.tolist()):
-                    places[i].add((f, width))
-                    if named:
-                        items[i].add(item)
+            best: list[tuple] = [(0, None, None, None)] * part.num_rows
+            q, at = shard.hits(queries)
+            of, width, item, named = shard.of[at], queries.lengths[q], queries.items[q], queries.named[q]
+            for i, f, w, k, z in zip(of.tolist(), (at - shard.words.bounds[of]).tolist(), width.tolist(), item.tolist(), named.tolist()):
+                places[i].add((f, w))
+                if z:
+                    items[i].add(k)
+            q, at, size = shard.longest(queries, q, at)
+            of = shard.of[at]
+            start = at - shard.words.bounds[of]
+            # Of equally long ones the first in the document, then in the items with the least id.
+            order = np.lexsort((queries.starts[q], queries.items[q], ~queries.named[q], start, -size, of))
+            for r in order[np.flatnonzero(np.diff(of[order], prepend=-1))].tolist():
+                name = int(queries.items[q[r]]) if queries.named[q[r]] else None
+                best[of[r]] = (int(size[r]), int(start[r]), name, int(queries.starts[q[r]]))
             keep = [i for i in range(part.num_rows) if all_rows or places[i]]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -149,8 +182,9 @@ def _find(batches, queries: Queries, all_rows: bool):
                     pa.array([[f for f, _ in sorted(places[i])] for i in keep], pa.list_(pa.int32())),
                     pa.array([[w for _, w in sorted(places[i])] for i in keep], pa.list_(pa.int32())),
                     pa.array([sorted(items[i]) for i in keep], pa.list_(pa.int64())),
+                    *[pa.array([best[i][c] for i in keep], pa.int64()) for c in range(4)],
                 ],
-                ["doc_id", "text_key", "n_words", "firsts", "widths", "items"],
+                ["doc_id", "text_key", "n_words", "firsts", "widths", "items", *_FOUND],
             )
 
 
@@ -160,21 +194,56 @@ def _verdicts(batches):
         batch = batch.drop_columns(["text_key"])
         out = []
         for row in batch.to_pylist():
-            n, covered, longest, end = row["n_words"], 0, 0, -1
-            begin = 0
+            n, covered, end = row["n_words"], 0, -1
             for f, w in sorted(zip(row["firsts"], row["widths"])):
-                if f > end:
-                    begin = f
                 covered += max(0, f + w - max(f, end))
                 end = max(end, f + w)
-                longest = max(longest, end - begin)
             names = sorted({str(i) for i in row["items"]})
             digest = hashlib.sha256(",".join(names).encode()).hexdigest()
-            out.append((row["doc_id"], n, covered, len(names), digest, covered > 0 and 20 * covered >= n, longest))
-        columns = list(zip(*out)) if out else [[]] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64()]
-        names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)] + [key], [*names, "text_key"])
+            out.append((row["doc_id"], n, covered, len(names), digest, covered > 0 and 20 * covered >= n))
+        columns = list(zip(*out)) if out else [[]] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+        names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+        match = ["longest_match", "match_start", "match_item", "match_item_start"]
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(c, k) for c, k in zip(columns, kinds)], *[batch.column(c) for c in _FOUND], key], [*names, *match, "text_key"]
+        )
+
+
+def _item_matches(batches, queries: Queries):
+    """Per batch of documents and item: its longest match there."""
+    for batch in batches:
+        for part in by_bytes(batch, "text"):
+            shard = Shard(part.column("text"), queries, all_words=True)
+            ids = part.column("doc_id").to_pylist()
+            found: dict[int, tuple] = {}
+
+            def offer(k: int, at: int, q: int, size: int) -> None:
+                doc = ids[shard.of[at]]
+                new = (-size, doc is None, doc or 0, int(at - shard.words.bounds[shard.of[at]]), int(queries.starts[q]))
+                found[k] = min(found.get(k, new), new)
+
+            for q, at, size in zip(*(x.tolist() for x in shard.longest(queries, *shard.hits(queries)))):
+                offer(int(queries.items[q]), at, q, size)
+            # Items without a window here: the suffix that goes on longest, at all its places.
+            _, _, longest = shard.matches(queries)
+            rest = [k for k in np.flatnonzero((longest > 0) & queries.named) if int(queries.items[k]) not in found]
+            most: dict[int, int] = {}
+            for k in rest:
+                most[int(queries.items[k])] = max(most.get(int(queries.items[k]), 0), int(longest[k]))
+            for k in rest:
+                size = int(longest[k])
+                if size < most[int(queries.items[k])]:
+                    continue
+                low, high = queries.keys[k : k + 1].copy(), queries.keys[k : k + 1].copy()
+                low[:, size:], high[:, size:] = 0, 0xFFFFFFFF
+                a, b = np.searchsorted(shard.sorted, _ordered(low)[0], "left"), np.searchsorted(shard.sorted, _ordered(high)[0], "right")
+                for at in shard.at[a:b].tolist():
+                    offer(int(queries.items[k]), at, k, size)
+            named = {int(k) for k in queries.items[queries.named]}
+            rows = [(k, -v[0], None if v[1] else v[2], v[3], v[4]) for k, v in found.items() if k in named]
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["item_id", "words", "doc_id", "start", "item_start"])
 
 
 def _query_blocks(benchmark: DataFrame, width: int, limit: int):
@@ -199,7 +268,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, que
     window is `width` words of an item, or all of a shorter item that has any. Gives
     doc_id, n_words, n_hit (words in occurrences of windows), n_items, items_sha256
     (of the sorted item ids), contaminated (a twentieth of the words or more is hit)
-    and longest_match (words of the longest stretch of occurrences).
+    and the longest verbatim match that holds a window: longest_match (words; 0 where
+    there is none), match_start (first word in the document), match_item, and
+    match_item_start (first word in the item). Of equally long ones the first in the
+    document counts, then the one of the least item_id.
 
     A null or empty text has no words and no hits. Items without item_id hit, but are
     not counted. Repeated items count once, repeated documents each. Empty tables give
@@ -218,6 +290,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame, width: int, query_bytes: int,
     )
     kind = rows.schema["text_key"].dataType.simpleString().replace("bigint", "long")
     schema = f"doc_id long, text_key {kind}, n_words long, firsts array<int>, widths array<int>, items array<long>"
+    schema += "".join(f", {c} long" for c in _FOUND)
     sc = docs.sparkSession.sparkContext
     found = None
     for k, block in enumerate(_query_blocks(benchmark, width, query_bytes)):
@@ -226,19 +299,44 @@ def _judged(docs: DataFrame, benchmark: DataFrame, width: int, query_bytes: int,
         found = more if found is None else pin(found.unionByName(more), "hits")
     if k:
         flat = lambda c: F.flatten(F.collect_list(c)).alias(c)
+        order = F.struct(-F.col("best_words"), F.col("best_start"), F.col("best_item").isNull(), F.col("best_item"), F.col("best_item_start"))
+        best = F.min_by(F.struct(*_FOUND), F.when(F.col("best_words") > 0, order)).alias("best")
         once = rows.groupBy("doc_id", "text_key").agg(F.count("*").cast("int").alias("copies"))
         found = (
             found.groupBy("doc_id", "text_key")
-            .agg(F.max("n_words").alias("n_words"), flat("firsts"), flat("widths"), flat("items"))
+            .agg(F.max("n_words").alias("n_words"), flat("firsts"), flat("widths"), flat("items"), best)
+            .withColumn("best_words", F.coalesce("best.best_words", F.lit(0).cast("long")))
+            .select("*", *[F.col("best")[c].alias(c) for c in _FOUND[1:]])
             .join(once.withColumnsRenamed({"doc_id": "d", "text_key": "t"}), F.expr("doc_id <=> d AND text_key = t"))
             .select(F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), "*")
-            .select("doc_id", "text_key", "n_words", "firsts", "widths", "items")
+            .select("doc_id", "text_key", "n_words", "firsts", "widths", "items", *_FOUND)
         )
     kinds = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
+    kinds += ", match_start long, match_item long, match_item_start long"
     kinds += f", text_key {kind}"
     return found.mapInArrow(_verdicts, kinds)
 
 
+def longest_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, query_bytes: int = QUERY_BYTES) -> DataFrame:
+    """(item_id, words, doc_id, start, item_start): each item's longest verbatim match in all documents.
+
+    Matches of any length count, down to one word; start and item_start are the first
+    word in the document and in the item. Of equally long ones the least doc_id counts
+    (a missing one last), then the first place. Items without item_id, without words or
+    without a match give no row; several items of one item_id give one.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sc = docs.sparkSession.sparkContext
+    found = None
+    for block in _query_blocks(benchmark, width, query_bytes):
+        shared = sc.broadcast(block)
+        more = rows.mapInArrow(lambda b, s=shared: _item_matches(b, s.value), "item_id long, words long, doc_id long, start long, item_start long")
+        found = more if found is None else found.unionByName(more)
+    order = F.struct(-F.col("words"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("start"), F.col("item_start"))
+    best = found.groupBy("item_id").agg(F.min_by(F.struct("words", "doc_id", "start", "item_start"), order).alias("best"))
+    return best.select("item_id", "best.*")
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """The documents that are not contaminated, each row judged by its own text.
 
