@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from carryall.plans import fixtures
 from carryall.operators import enrich, movement
 from carryall.sources import queue
 from carryall.sources.ledger import LedgerSummary
@@ -230,3 +231,27 @@ def test_proof_of_ranges_reads_few_row_groups(spark):
     plan = proof._jdf.queryExecution().executedPlan().toString()
     assert "77999" in plan and "PushedFilters" in plan
     assert sorted(tuple(r) for r in proof.collect()) == [(77_777, "x", 1, 0), (77_777, "y", 0, 1)]
+
+
+def test_a_fixture_over_a_large_table_is_joined_in_bounded_parts(spark, tmp_path, rows, monkeypatch):
+    def built(part_rows):
+        monkeypatch.setattr(fixtures, "_PART_ROWS", part_rows)
+        fixtures._built.clear()
+        return fixtures.fixture(spark, str(tmp_path), "changes")
+
+    spark.sql(
+        "select id o_orderkey, id o_custkey, 'O' o_orderstatus, '1-URGENT' o_orderpriority,"
+        " timestamp_ntz'1996-01-01 00:00:00' o_orderdate from range(60)"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    # An order that a third of all lines have, and lines that repeat.
+    spark.sql(
+        "select if(id % 3 = 0, 7, id % 50) l_orderkey, cast(id % 6 as int) l_linenumber,"
+        " timestamp_ntz'1996-02-01 00:00:00' + make_dt_interval(cast(id % 90 as int)) l_shipdate from range(600)"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    small, large = built(200_000), built(10)
+    spread = "RepartitionByExpression"
+    assert spread not in small._jdf.queryExecution().optimizedPlan().toString()
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(spread) == 2 and "60" in plan[plan.index(spread) :].split("\n")[0]
+    assert rows(small) == rows(large) and len(rows(small)) > 300
+    fixtures._built.clear()
