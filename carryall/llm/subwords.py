@@ -7,18 +7,23 @@ are put together. Texts in which a cut would not be safe are encoded whole.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
+from collections.abc import Callable
+
+import pyarrow as pa
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 # Pieces of a generation. A worker remembers the one it fills and the one before.
 _REMEMBERED = 600_000
 
-# Blanks other than space and line feed, and runs of blanks: not cut for byte-level ids.
-_ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|[ \n][ \n]|^[ \n]|[ \n]$")
-# A word of letters with the marks that often end one.
-_PLAIN = re.compile(r"([ \n]?)([^\W\d_]+)([,.;:!?]*)")
+# Blanks other than space and line feed; texts with these, or runs of blanks, are not cut for byte-level ids.
+_ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+# Marks that often end a word.
+_MARKS = ",.;:!?"
 # Before the first piece of a text that is cut; such texts hold no carriage return.
 _START = "\r"
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -44,6 +49,17 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class _Pieces(dict):
+    """Ids of pieces; a piece that is not there is learned as it is looked up."""
+
+    def __init__(self, learn: Callable[[str], bytes]) -> None:
+        self.learn = learn
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.learn(piece)
+        return ids
+
+
 class Encoder:
     """Ids of texts as bytes: unsigned 32-bit numbers, little-endian.
 
@@ -58,42 +74,48 @@ class Encoder:
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
         self.lowers = self.tokenizer.normalizer is not None
-        self.known: dict[str, bytes] = {}
+        self.known = _Pieces(self._learned)
         self.older: dict[str, bytes] = {}
         self.fixed: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.space = chr(self.letters[0x20])
+        self.model = self.tokenizer.model
+        self.each = [_packed([k]) for k in range(1 + max(self.tokenizer.get_vocab().values()))]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > _REMEMBERED:
-            self.known, self.older = {}, self.known
-        model, letters, known, older = self.tokenizer.model, self.letters, self.known, self.older
-        others = []
-        for p in pieces.difference(known):
-            if p in older:
-                known[p] = older[p]
-                continue
-            written = self._written(p)
-            plain = _PLAIN.fullmatch(written)
-            if plain is None or not plain[2].isalpha() or not (p.isascii() or max(p) <= "\xff"):
-                others.append(p)
-                continue
-            # Line feed, letters and marks are pre-tokens of their own; letters up to
-            # U+00FF are composed already and lower-cased one by one.
-            lead, core, marks = plain.groups()
-            word = core if self.lowers or lead == " " else _START + core
-            ids = known.get(word) or older.get(word)
-            if ids is None:
-                text = core.lower() if self.lowers else core if lead != " " else lead + core
-                ids = _packed([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(letters))])
-                known[word] = ids
-            if lead == "\n" or marks:
-                before = self._fixed("\n") if lead == "\n" else b""
-                known[p] = before + ids + (self._fixed(marks) if marks else b"")
-        for p, ids in zip(others, self._whole([self._written(p) for p in others]) if others else []):
-            known[p] = ids
+    def _learned(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is not None:
+            return ids
+        ascii_only = piece.isascii()
+        # Letters up to U+00FF are composed already and lower-cased one by one.
+        if ascii_only or max(piece) <= "\xff":
+            core = piece.rstrip(_MARKS)
+            if len(core) < len(piece):
+                # Marks behind a letter are a pre-token of their own.
+                if core[-1:].isalpha():
+                    return self.known[core] + self._fixed(piece[len(core) :])
+            elif piece.isalpha():
+                return self._word(piece.lower() if self.lowers else " " + piece, ascii_only)
+            elif not self.lowers and piece[1:].isalpha():
+                if piece[0] == _START:
+                    return self._word(piece[1:], ascii_only)
+                if piece[0] == "\n":
+                    return self._fixed("\n") + self.known[_START + piece[1:]]
+        return self._whole([self._written(piece)])[0]
+
+    def _word(self, text: str, ascii_only: bool) -> bytes:
+        """Of letters, which are a single pre-token with the space before them."""
+        if ascii_only:
+            text = text.replace(" ", self.space)
+        else:
+            text = text.encode().decode("latin-1").translate(self.letters)
+        tokens = self.model.tokenize(text)
+        if len(tokens) == 1:
+            return self.each[tokens[0].id]
+        return b"".join([self.each[t.id] for t in tokens])
 
     def _written(self, piece: str) -> str:
         """A piece as it stands in a text."""
@@ -109,16 +131,9 @@ class Encoder:
     def _cut(self, text: str) -> list[str] | None:
         if self.lowers:
             return None if _CONTROL.search(text) else text.split()
-        if _ODD.search(text):
+        if _ODD.search(text) or any(run in text for run in _RUNS) or text[0] in " \n" or text[-1] in " \n":
             return None
-        first, *lines = text.split("\n")
-        out = first.split(" ")
-        out[0] = _START + out[0]
-        for line in lines:
-            more = line.split(" ")
-            more[0] = "\n" + more[0]
-            out += more
-        return out
+        return (_START + text.replace("\n", " \n")).split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -128,12 +143,9 @@ class Encoder:
             if pieces is None:
                 out += self._whole([text])
                 continue
-            get = self.known.__getitem__
-            try:
-                out.append(b"".join(map(get, pieces)))
-            except KeyError:
-                self._learn(set(pieces))
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
+            if len(self.known) > _REMEMBERED:
+                self.known, self.older = _Pieces(self._learned), self.known
+            out.append(b"".join(map(self.known.__getitem__, pieces)))
         return out
 
 
@@ -143,10 +155,19 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The encoder of a worker; what it remembers outlives a task."""
     if path not in _ENCODERS:
+        released()
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
+def released() -> None:
+    """Gives memory back that earlier tasks of this worker have freed, of other operators too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def forget() -> None:
     """Drops what this worker remembers, as it goes on to another operator's tasks."""
     _ENCODERS.clear()
+    released()
