@@ -34,11 +34,11 @@ def pieces_of(n: int, capacity: int, piece: int) -> list[tuple[int, int]]:
     return out + [(s, min(piece, n - s)) for s in range(full, n, piece)]
 
 
-def _pieces(docs: DataFrame, path: str, end: int, capacity: int, piece: int) -> DataFrame:
+def _pieces(docs: DataFrame, path: str, end: int, capacity: int, piece: int, remembered: int | None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece."""
 
     def of(batches):
-        enc, stop = encoder(path), np.array([end], "<u4").tobytes()
+        enc, stop = encoder(path, remembered), np.array([end], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -119,6 +119,7 @@ def pack(
     tokenizer: str = WORD_BPE,
     group: int = GROUP,
     piece: int = PIECE,
+    remembered: int | None = None,
 ) -> DataFrame:
     """Every piece of every document, with its window and its place there.
 
@@ -126,9 +127,10 @@ def pack(
     document is its ids and then `end`; a null or empty text is `end` alone. Full
     windows are windows of their own, with sequence_ids from 2**62 on. A row without doc_id
     is packed like any other; repeated rows are packed each. An empty table gives no
-    pieces. Other columns are not read.
+    pieces. Other columns are not read. `remembered`: pieces of text whose ids a
+    worker keeps, for speed alone.
     """
-    numbered = _pieces(docs, tokenizer_path(tokenizer), end, capacity, piece).withColumn("row", F.monotonically_increasing_id())
+    numbered = _pieces(docs, tokenizer_path(tokenizer), end, capacity, piece, remembered).withColumn("row", F.monotonically_increasing_id())
     found = pin(numbered, "pieces")
     is_full = F.col("length") == capacity
     n = max(1, found.where(~is_full).count() // group)

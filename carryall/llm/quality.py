@@ -21,6 +21,8 @@ FACTORS = 6
 # Labelled documents that the machine is trained on, at most about.
 TRAINED = 6_000
 THRESHOLD = 0.7
+# Bytes of text that a task makes inputs of at a time.
+SLICE = 1 << 20
 METADATA = ("n_chars",)
 
 _BYTES = np.arange(256)
@@ -173,6 +175,13 @@ def _numbers(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return [np.nan_to_num(batch.column(f"m{k}").to_numpy(zero_copy_only=False)) for k in range(n)]
 
 
+def _slices(batches):
+    """Slices of a task's batches, in a worker that first drops what it remembers for other operators."""
+    forget()
+    for batch in batches:
+        yield from by_bytes(batch, "text", SLICE)
+
+
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINED, metadata=METADATA) -> FactorisationMachine:
     """A machine trained on labelled documents whose id's crc32 modulo 4 is not 2.
 
@@ -193,21 +202,20 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINED, metadata=MET
     n = len(names)
 
     def of(batches):
-        for batch in batches:
-            for part in by_bytes(batch, "text"):
-                x = inputs(part.column("text"), _numbers(part, n))
-                cut = np.searchsorted(x.rows, np.arange(part.num_rows + 1))
-                each = [slice(a, b) for a, b in zip(cut, cut[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        part.column("y"),
-                        pa.array([x.buckets[s].astype(np.uint16).tobytes() for s in each], pa.binary()),
-                        pa.array([x.values[s].astype(np.float32).tobytes() for s in each], pa.binary()),
-                        pa.array([d.tobytes() for d in x.dense], pa.binary()),
-                    ],
-                    ["doc_id", "y", "buckets", "numbers", "dense"],
-                )
+        for part in _slices(batches):
+            x = inputs(part.column("text"), _numbers(part, n))
+            cut = np.searchsorted(x.rows, np.arange(part.num_rows + 1))
+            each = [slice(a, b) for a, b in zip(cut, cut[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    part.column("y"),
+                    pa.array([x.buckets[s].astype(np.uint16).tobytes() for s in each], pa.binary()),
+                    pa.array([x.values[s].astype(np.float32).tobytes() for s in each], pa.binary()),
+                    pa.array([d.tobytes() for d in x.dense], pa.binary()),
+                ],
+                ["doc_id", "y", "buckets", "numbers", "dense"],
+            )
 
     # About `bound` ids at most are broadcast. Of repeated ids the least row by its hash
     # is taken, so that no more rows are collected, once they are numbers.
@@ -238,11 +246,9 @@ def _scored(docs: DataFrame, machine: FactorisationMachine, metadata) -> DataFra
     n = len(names)
 
     def of(batches):
-        forget()
-        for batch in batches:
-            for part in by_bytes(batch, "text"):
-                score = shared.value.score(inputs(part.column("text"), _numbers(part, n)))
-                yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(score)], ["rest", "score"])
+        for part in _slices(batches):
+            score = shared.value.score(inputs(part.column("text"), _numbers(part, n)))
+            yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(score)], ["rest", "score"])
 
     return rows.mapInArrow(of, T.StructType([rows.schema["rest"], T.StructField("score", T.DoubleType())]))
 

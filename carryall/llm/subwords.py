@@ -64,16 +64,18 @@ class Encoder:
     """Ids of texts as bytes: unsigned 32-bit numbers, little-endian.
 
     known, older: ids of pieces. For byte-level ids a piece follows a space, unless it
-    starts with its line feed or with the mark of a text's start.
+    starts with its line feed or with the mark of a text's start. Each holds `remembered`
+    pieces (none: _REMEMBERED), and at most those of one text more.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
         self.lowers = self.tokenizer.normalizer is not None
+        self.remembered = remembered
         self.known = _Pieces(self._learned)
         self.older: dict[str, bytes] = {}
         self.fixed: dict[str, bytes] = {}
@@ -138,12 +140,13 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         out: list[bytes] = []
+        bound = _REMEMBERED if self.remembered is None else self.remembered
         for text in texts:
             pieces = self._cut(text) if text else []
             if pieces is None:
                 out += self._whole([text])
                 continue
-            if len(self.known) > _REMEMBERED:
+            if len(self.known) > bound:
                 self.known, self.older = _Pieces(self._learned), self.known
             out.append(b"".join(map(self.known.__getitem__, pieces)))
         return out
@@ -152,11 +155,12 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of a worker; what it remembers outlives a task."""
-    if path not in _ENCODERS:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    """The encoder of a worker; what it remembers outlives a task, but not another bound."""
+    if path not in _ENCODERS or _ENCODERS[path].remembered != remembered:
+        _ENCODERS.pop(path, None)
         released()
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, remembered)
     return _ENCODERS[path]
 
 
