@@ -172,10 +172,19 @@ _DEALT = {"changes": {"lineitem": "l_orderkey", "jobs": "task_id"}}
 _PART_ROWS = 200_000
 
 
+def _n_parts(rows: int) -> int | None:
+    return n if (n := rows // _PART_ROWS) >= 2 else None
+
+
+def parts_of(spark: SparkSession, sf_dir: str, name: str) -> int | None:
+    """Parts for a join of a dealt fixture; None for a small one. Rows are counted from footers."""
+    return _n_parts(base(spark, sf_dir, next(iter(_DEALT[name]))).count())
+
+
 def _dealt(inputs: dict[str, DataFrame], keys: dict[str, str]) -> dict[str, DataFrame]:
     """The inputs in parts by their key; the rows of the first named are counted from its footers."""
-    n = inputs[next(iter(keys))].count() // _PART_ROWS
-    if n < 2:
+    n = _n_parts(inputs[next(iter(keys))].count())
+    if n is None:
         return inputs
     return {name: df.repartition(n, keys[name]) if name in keys else df for name, df in inputs.items()}
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carryall.operators import enrich, movement
 from carryall.plans import movement_queries as shared
 from carryall.plans.enrich_queries import READERS
-from carryall.plans.fixtures import AS_OF, base, fixture, jobs
+from carryall.plans.fixtures import AS_OF, base, fixture, jobs, parts_of
 from carryall.plans.registry import IS_SOURCE, flat, query, sql_time
 from carryall.schemas import KEY
 from carryall.sources import queue
@@ -87,7 +87,7 @@ good as (select *, row_number() over (partition by task_id, tbl_name order by ch
 )
 def _(spark, sf):
     all_jobs = _versioned(spark, sf)
-    made, _ = queue.settle_changes(all_jobs, fixture(spark, sf, "changes"))
+    made, _ = queue.settle_changes(all_jobs, fixture(spark, sf, "changes"), parts=parts_of(spark, sf, "changes"))
     done = queue.upsert_jobs(all_jobs, made, AS_OF)
     return flat(done.select("task_id", "state", "run_id", "last_updated_time", "version"))
 
@@ -99,7 +99,7 @@ def _(spark, sf):
 union all select task_id, tbl_name, run_id, {sql_time('changed_at')}, 'superseded' from good where n > 1""",
 )
 def _(spark, sf):
-    _, rejects = queue.settle_changes(_versioned(spark, sf), fixture(spark, sf, "changes"))
+    _, rejects = queue.settle_changes(_versioned(spark, sf), fixture(spark, sf, "changes"), parts=parts_of(spark, sf, "changes"))
     return flat(rejects.select("task_id", "tbl_name", "run_id", "changed_at", "reason"))
 
 

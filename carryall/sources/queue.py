@@ -104,7 +104,7 @@ def upsert_jobs(jobs: DataFrame, changes: DataFrame, as_of) -> DataFrame:
 
 
 def settle_changes(
-    jobs: DataFrame, changes: DataFrame, at: str = "changed_at"
+    jobs: DataFrame, changes: DataFrame, at: str = "changed_at", parts: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(changes to make, rejects with a reason) of changes by several writers.
 
@@ -117,8 +117,14 @@ def settle_changes(
 
     The newest change is found by sums of fixed width, so a key that a third of all
     changes have is never in one buffer; the joins leave it to AQE's skew split.
+
+    What a task sorts follows the size of Spark's shuffle partitions, whose number is fixed.
+    For very many changes give ``parts``: both inputs are dealt by key to so many. AQE does not
+    split a hot key then; its rows are sorted by one task, on disk where they do not fit.
     """
     key = ["task_id", *KEY]
+    if parts:
+        jobs, changes = jobs.repartition(parts, *key), changes.repartition(parts, *key)
     versioned = "version" in jobs.columns
     facts = [F.lit(True).alias("__known"), *([F.max("version").alias("__now")] if versioned else [])]
     known = jobs.groupBy(*key).agg(*facts)

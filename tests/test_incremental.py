@@ -133,6 +133,27 @@ def test_settled_changes(spark, rows):
     assert again.count() == 0 and {r["reason"] for r in late.collect()} == {"stale"}
 
 
+def test_settled_changes_are_the_same_in_parts(spark, rows):
+    jobs = spark.createDataFrame([(n, "c", "d", None if n == 5 else f"t{n}", "NEW", _at(1), 5) for n in [*range(40), 7]], _QUEUE)
+    changes = spark.createDataFrame(
+        [(n % 50 if n % 17 else None, "c", "d", None if n % 50 == 5 else f"t{n % 50}", "READY", 5 if n % 3 else 4, _at(1 + n % 4) if n % 11 else None) for n in range(300)],
+        _CHANGE,
+    )
+    want = [rows(x) for x in queue.settle_changes(jobs, changes)]
+    made, rejects = queue.settle_changes(jobs, changes, parts=7)
+    assert [rows(made), rows(rejects)] == want and all(want)
+    # As many tasks as parts, so that more changes mean more tasks and not longer sorts.
+    assert rejects.rdd.getNumPartitions() == 7
+
+
+def test_settled_parts_grow_with_the_changes(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert fixtures.parts_of(spark, sf, "changes") is None
+    monkeypatch.setattr(fixtures, "_PART_ROWS", 500)
+    assert fixtures.parts_of(spark, sf, "changes") == n // 500 > 2
+
+
 def test_contradicting_changes_of_one_time_leave_one(spark):
     jobs = spark.createDataFrame([(0, "c", "d", "t", "NEW", _at(1), 0)], _QUEUE).drop("version")
     changes = spark.createDataFrame([(0, "c", "d", "t", s, 0, _at(2)) for s in ("READY", "LOCKED", "OPEN")], _CHANGE)
