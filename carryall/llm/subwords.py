@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gc
 import re
+import string
 import struct
 from collections.abc import Callable
 
@@ -19,12 +20,14 @@ WORD_BPE = "word_bpe_49k.json"
 # Pieces of a generation. A worker remembers the one it fills and the one before.
 _REMEMBERED = 600_000
 
-# Blanks other than space and line feed; texts with these, or runs of blanks, are not cut for byte-level ids.
+# Blanks other than space and line feed; texts with these, with runs of blanks or with blanks
+# around them are not cut for byte-level ids. Printable characters hold none of them.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-_RUNS = ("  ", " \n", "\n ", "\n\n")
-# Marks that often end a word.
-_MARKS = ",.;:!?"
-# Before the first piece of a text that is cut; such texts hold no carriage return.
+# Neither letters, digits nor blanks: behind a letter, a run of them is a pre-token of its own.
+_MARKS = string.punctuation
+# A mark that often ends a word, alone behind a letter up to U+00FF.
+_ENDS = re.compile("[,.;:!?](?<=[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff].)(?=[ \n]|\\Z)")
+# Before a piece that no space precedes, of a text that is cut; such texts hold no carriage return.
 _START = "\r"
 _CONTROL = re.compile("[\x1c-\x1f]")
 
@@ -45,6 +48,10 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in prints} | {b: 256 + k for k, b in enumerate(others)}
 
 
+class _Uncut(Exception):
+    """A text is not one that may be cut at its blanks."""
+
+
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -64,8 +71,9 @@ class Encoder:
     """Ids of texts as bytes: unsigned 32-bit numbers, little-endian.
 
     known, older: ids of pieces. For byte-level ids a piece follows a space, unless it
-    starts with its line feed or with the mark of a text's start. Each holds `remembered`
-    pieces (none: _REMEMBERED), and at most those of one text more.
+    is a line feed or starts with _START. A mark that ends a word is a piece of its own,
+    so that the word is learned once. Each holds `remembered` pieces (none: _REMEMBERED),
+    and at most those of one text more.
     """
 
     def __init__(self, path: str, remembered: int | None = None) -> None:
@@ -78,7 +86,6 @@ class Encoder:
         self.remembered = remembered
         self.known = _Pieces(self._learned)
         self.older: dict[str, bytes] = {}
-        self.fixed: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.space = chr(self.letters[0x20])
         self.model = self.tokenizer.model
@@ -91,33 +98,31 @@ class Encoder:
         ids = self.older.get(piece)
         if ids is not None:
             return ids
-        ascii_only = piece.isascii()
         # Letters up to U+00FF are composed already and lower-cased one by one.
+        ascii_only = piece.isascii()
         if ascii_only or max(piece) <= "\xff":
+            if piece.isalpha():
+                return self._word(piece.lower() if self.lowers else " " + piece, ascii_only)
+            if piece in ("", _START):
+                # Between two blanks, or a blank and an end of the text.
+                raise _Uncut
             core = piece.rstrip(_MARKS)
             if len(core) < len(piece):
-                # Marks behind a letter are a pre-token of their own.
                 if core[-1:].isalpha():
-                    return self.known[core] + self._fixed(piece[len(core) :])
-            elif piece.isalpha():
-                return self._word(piece.lower() if self.lowers else " " + piece, ascii_only)
-            elif not self.lowers and piece[1:].isalpha():
-                if piece[0] == _START:
-                    return self._word(piece[1:], ascii_only)
-                if piece[0] == "\n":
-                    return self._fixed("\n") + self.known[_START + piece[1:]]
+                    rest = piece[len(core) :]
+                    return self.known[core] + self.known[rest if self.lowers else _START + rest]
+            elif not self.lowers and piece[0] == _START and piece[1:].isalpha():
+                return self._word(piece[1:], ascii_only)
         return self._whole([self._written(piece)])[0]
 
     def _word(self, text: str, ascii_only: bool) -> bytes:
         """Of letters, which are a single pre-token with the space before them."""
-        if ascii_only:
-            text = text.replace(" ", self.space)
-        else:
+        if not ascii_only:
             text = text.encode().decode("latin-1").translate(self.letters)
-        tokens = self.model.tokenize(text)
-        if len(tokens) == 1:
-            return self.each[tokens[0].id]
-        return b"".join([self.each[t.id] for t in tokens])
+        elif text[0] == " ":
+            text = self.space + text[1:]
+        each = self.each
+        return b"".join([each[t.id] for t in self.model.tokenize(text)])
 
     def _written(self, piece: str) -> str:
         """A piece as it stands in a text."""
@@ -125,17 +130,12 @@ class Encoder:
             return piece
         return piece[1:] if piece[:1] == _START else " " + piece
 
-    def _fixed(self, text: str) -> bytes:
-        if text not in self.fixed:
-            self.fixed[text] = self._whole([text])[0]
-        return self.fixed[text]
-
     def _cut(self, text: str) -> list[str] | None:
         if self.lowers:
-            return None if _CONTROL.search(text) else text.split()
-        if _ODD.search(text) or any(run in text for run in _RUNS) or text[0] in " \n" or text[-1] in " \n":
+            return None if _CONTROL.search(text) else _ENDS.sub(r" \g<0>", text).split()
+        if not text.replace("\n", " ").isprintable() and _ODD.search(text):
             return None
-        return (_START + text.replace("\n", " \n")).split(" ")
+        return (_START + _ENDS.sub(r" \r\g<0>", text).replace("\n", " \n \r")).split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -143,12 +143,15 @@ class Encoder:
         bound = _REMEMBERED if self.remembered is None else self.remembered
         for text in texts:
             pieces = self._cut(text) if text else []
-            if pieces is None:
-                out += self._whole([text])
-                continue
-            if len(self.known) > bound:
-                self.known, self.older = _Pieces(self._learned), self.known
-            out.append(b"".join(map(self.known.__getitem__, pieces)))
+            if pieces is not None:
+                if len(self.known) > bound:
+                    self.known, self.older = _Pieces(self._learned), self.known
+                try:
+                    out.append(b"".join(map(self.known.__getitem__, pieces)))
+                    continue
+                except _Uncut:
+                    pass
+            out += self._whole([text])
         return out
 
 

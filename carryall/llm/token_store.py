@@ -68,6 +68,8 @@ def write_tokens(
         .option("parquet.block.size", row_group_bytes)
         .option("parquet.page.row.count.limit", page_rows)
         .option("compression", "zstd")
+        # Ids packed to bits hardly compress further.
+        .option("parquet.compression.codec.zstd.level", 1)
         .parquet(path)
     )
 
