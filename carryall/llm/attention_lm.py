@@ -138,6 +138,14 @@ class AttentionModel:
             }
         return self.tables
 
+    @staticmethod
+    def _by_group(target: np.ndarray) -> tuple[np.ndarray, list[slice], np.ndarray, np.ndarray]:
+        """The order of classes by group, the slice of each group in it, and the groups and members in this order."""
+        order = np.argsort((target // MEMBERS).astype(np.int16), kind="stable")
+        group, member = np.divmod(target[order], MEMBERS)
+        bounds = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        return order, [slice(a, b) for a, b in zip(bounds, bounds[1:])], group, member
+
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, on: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of the classes y after x, at the places that are on; else 0."""
         t = self._tables()
@@ -155,87 +163,114 @@ class AttentionModel:
         at = np.flatnonzero(on)
         z = z.reshape(-1, d + 1)[at]
         z = z[:, :d] / z[:, d:]
-        before, target, place = x.reshape(-1)[at], y.reshape(-1)[at], at % WINDOW
-        group, member = target // MEMBERS, target % MEMBERS
+        order, cuts, group, member = self._by_group(y.reshape(-1)[at])
+        at, z = at[order], z[order]
+        before, place, row = x.reshape(-1)[at], at % WINDOW, np.arange(len(at))
         logits = z @ t["group_rest"]
         logits += t["group"][before]
         logits += t["group_place"][place]
-        picked = logits[np.arange(len(at)), group]
-        found = picked - np.log(np.exp(logits).sum(1))
-        order = np.argsort(group.astype(np.int16), kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for g in range(GROUPS):
-            rows = order[cuts[g] : cuts[g + 1]]
-            if len(rows):
-                logits = z[rows] @ t["member_rest"][g]
-                logits += t["member"][g][before[rows]]
-                logits += t["member_place"][g][place[rows]]
-                picked = logits[np.arange(len(rows)), member[rows]]
-                found[rows] += picked - np.log(np.exp(logits).sum(1))
+        picked = logits[row, group]
+        found = picked - np.log(np.exp(logits, out=logits).sum(1))
+        logits = t["member"][group, before]
+        logits += t["member_place"][group, place]
+        for g, part in enumerate(cuts):
+            logits[part] += z[part] @ t["member_rest"][g]
+        picked = logits[row, member]
+        found += picked - np.log(np.exp(logits, out=logits).sum(1))
         out = np.zeros(x.size, np.float32)
         out[at] = found
         return out.reshape(x.shape)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, on: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over the places that are on."""
-        w = self.w
+        w, d = self.w, DIMENSION
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        e = w["embed"][x] + w["place"]
-        q, k, v = e @ w["q"], e @ w["k"], e @ w["v"]
-        raw = q @ k.transpose(0, 2, 1) * self.SCALE
-        s = np.exp(np.clip(raw, -self.REACH, self.REACH)) * np.tri(WINDOW, dtype=np.float32)
+        e = np.take(w["embed"], x, axis=0)
+        e += w["place"]
+        joint = np.concatenate((w["q"] * self.SCALE, w["k"], w["v"]), axis=1)
+        qkv = (flat(e) @ joint).reshape(*x.shape, 3 * d)
+        q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
+        raw = q @ k.transpose(0, 2, 1)
+        held = np.abs(raw) < self.REACH
+        s = np.clip(raw, -self.REACH, self.REACH, out=raw)
+        np.exp(s, out=s)
+        s *= np.tri(WINDOW, dtype=np.float32)
         s /= s.sum(-1, keepdims=True)
-        a = s @ v
-        h = flat(e + a @ w["o"])
+        a = flat(s @ v)
+        h = a @ w["o"]
+        h += flat(e)
         at = np.flatnonzero(on)
-        before, target = x.reshape(-1)[at], y.reshape(-1)[at]
-        group, member = target // MEMBERS, target % MEMBERS
+        order, cuts, group, member = self._by_group(y.reshape(-1)[at])
+        at = at[order]
+        before, row = x.reshape(-1)[at], np.arange(len(at))
         part = np.float32(1 / max(1, len(at)))
 
         def slope(logits, wanted):
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(p)), wanted] -= 1
-            return p * part
-
-        on_h = h[at]
-        p = slope(on_h @ w["group"] + w["group_bias"] + self.follow_group[before], group)
-        g = {"group": on_h.T @ p, "group_bias": p.sum(0)}
-        g["member"], g["member_bias"] = np.zeros(self.SHAPES["member"], np.float32), np.zeros(self.SHAPES["member_bias"], np.float32)
+            # Within this, exponentials and their sums need no shift.
+            if max(logits.max(initial=0), -logits.min(initial=0)) > 60:
+                logits -= logits.max(1, keepdims=True)
+            p = np.exp(logits, out=logits)
+            p *= part / p.sum(1, keepdims=True)
+            p[row, wanted] -= part
+            return p
+
+        # A column of ones behind the inputs goes with the biases.
+        on_h = np.ones((len(at), d + 1), np.float32)
+        on_h[:, :d] = h[at]
+        member_w = np.concatenate((w["member"], w["member_bias"][:, None]), axis=1)
+        logits = on_h[:, :d] @ w["group"]
+        logits += w["group_bias"]
+        logits += self.follow_group[before]
+        p = slope(logits, group)
+        g = {"group": on_h[:, :d].T @ p, "group_bias": p.sum(0)}
         back = p @ w["group"].T
-        for j in np.unique(group):
-            rows = np.flatnonzero(group == j)
-            p = slope(on_h[rows] @ w["member"][j] + w["member_bias"][j] + self.follow_member[before[rows], j], member[rows])
-            g["member"][j], g["member_bias"][j] = on_h[rows].T @ p, p.sum(0)
-            back[rows] += p @ w["member"][j].T
-        dh = np.zeros_like(h)
-        dh[at] = back
-        dh = dh.reshape(e.shape)
-        g["o"] = flat(a).T @ flat(dh)
-        da = dh @ w["o"].T
-        ds, dv = da @ v.transpose(0, 2, 1), s.transpose(0, 2, 1) @ da
-        ds = s * (ds - (ds * s).sum(-1, keepdims=True)) * (np.abs(raw) < self.REACH) * self.SCALE
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g["q"], g["k"], g["v"] = flat(e).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv)
-        de = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-        g["place"] = de.sum(0)
-        g["embed"] = np.zeros(self.SHAPES["embed"], np.float32)
-        order = np.argsort(x.reshape(-1), kind="stable")
-        used, starts = np.unique(x.reshape(-1)[order], return_index=True)
-        g["embed"][used] = np.add.reduceat(flat(de)[order], starts)
+        logits = self.follow_member[before, group]
+        for j, of in enumerate(cuts):
+            logits[of] += on_h[of] @ member_w[j]
+        p = slope(logits, member)
+        member_g = np.zeros_like(member_w)
+        for j, of in enumerate(cuts):
+            member_g[j] = on_h[of].T @ p[of]
+            back[of] += p[of] @ w["member"][j].T
+        g["member"], g["member_bias"] = member_g[:, :d], member_g[:, d]
+        de = np.zeros_like(h)
+        de[at] = back
+        g["o"] = a.T @ de
+        da = (de @ w["o"].T).reshape(e.shape)
+        ds = da @ v.transpose(0, 2, 1)
+        ds -= (ds * s).sum(-1, keepdims=True)
+        ds *= s
+        ds *= held
+        back = np.empty_like(qkv)
+        back[..., :d], back[..., d : 2 * d], back[..., 2 * d :] = ds @ k, ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ da
+        back = flat(back)
+        all_three = flat(e).T @ back
+        g["q"], g["k"], g["v"] = all_three[:, :d] * self.SCALE, all_three[:, d : 2 * d], all_three[:, 2 * d :]
+        de += back @ joint.T
+        g["place"] = de.reshape(e.shape).sum(0)
+        at = (x.reshape(-1, 1) * d + np.arange(d)).reshape(-1)
+        g["embed"] = np.bincount(at, de.reshape(-1), w["embed"].size).astype(np.float32).reshape(w["embed"].shape)
         return g
 
     def train(self, x: np.ndarray, y: np.ndarray, on: np.ndarray, rate: float, seed: int) -> None:
         """One pass of Adam over windows."""
-        one = {k: np.zeros(s, np.float32) for k, s in self.SHAPES.items()}
-        two = {k: np.zeros(s, np.float32) for k, s in self.SHAPES.items()}
+        # The weights are parts of one array, so that a step goes over all of them at once.
+        flat, at = self.flat(), 0
+        for k, shape in self.SHAPES.items():
+            self.w[k] = flat[at : at + int(np.prod(shape))].reshape(shape)
+            at += self.w[k].size
+        one, two = np.zeros_like(flat), np.zeros_like(flat)
         order = np.random.default_rng(seed).permutation(len(x))
         for step, i in enumerate(range(0, len(x), _BATCH), 1):
             at = order[i : i + _BATCH]
-            for k, g in self.gradients(x[at], y[at], on[at]).items():
-                one[k] += 0.1 * (g - one[k])
-                two[k] += 0.01 * (g * g - two[k])
-                self.w[k] -= np.float32(rate) * (one[k] / (1 - 0.9**step)) / (np.sqrt(two[k] / (1 - 0.99**step)) + np.float32(1e-6))
+            g = self.gradients(x[at], y[at], on[at])
+            g = np.concatenate([g[k].reshape(-1) for k in self.SHAPES])
+            one += 0.1 * (g - one)
+            g *= g
+            two += 0.01 * (g - two)
+            change = np.sqrt(two / (1 - 0.99**step))
+            change += np.float32(1e-6)
+            flat -= np.float32(rate) * (one / (1 - 0.9**step)) / change
 
 
 def _training_ids(docs: DataFrame, path: str) -> DataFrame:
