@@ -11,8 +11,12 @@ Ids and followers are counted over all training texts, and every round trains on
 windows of all of them: tasks train on their own windows from common weights, which
 are then averaged.
 
+Training and scoring are carried out in the JVM by AttentionSteps.java, over all texts of
+a task. The same steps stand here in NumPy, which takes over where there is no compiler.
+
 Beside the model stands a base of word counts over all training texts, exchanged
-between blocks of documents and buckets of words.
+between blocks of documents and buckets of words. Texts are read once: their ids and the
+numbers of their words are written, and all that follows starts from these.
 """
 
 from __future__ import annotations
@@ -23,9 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from carryall.llm.blocks import BLOCK_BYTES, count_blocks, in_blocks, parts, runs
+from carryall.llm import jvm
+from carryall.llm.blocks import BLOCK_BYTES, count_blocks, parts, runs
 from carryall.llm.subwords import WORD_BPE, encoder, tokenizer_path
 from carryall.llm.words import BLANK, by_bytes, mix, split
 from carryall.sources.tables import pin
@@ -273,21 +279,60 @@ class AttentionModel:
             flat -= np.float32(rate) * (one / (1 - 0.9**step)) / change
 
 
-def _training_ids(docs: DataFrame, path: str) -> DataFrame:
-    """(ids): of each training text, -1 before its first id, all its ids and its end."""
+_ROWS = pa.schema(
+    [
+        ("block", pa.int64()),
+        ("doc_id", pa.int64()),
+        ("trains", pa.bool_()),
+        ("words", pa.binary()),
+        ("ids", pa.binary()),
+        ("bucket", pa.int32()),
+        ("keys", pa.binary()),
+        ("counts", pa.binary()),
+    ]
+)
+
+
+def _prepared(docs: DataFrame, path: str, n_buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Rows of all texts, in their order, and behind those of each block what it asks the buckets.
+
+    A block is what a task reads of about `block_bytes` together. Of a text: block, doc_id,
+    trains, words (of each word its place among the block's keys) and ids (-1 before the
+    first, all its ids and its end). Of a block and a bucket: keys, by number, and how often
+    the block's training texts have each. A block's keys are those of its buckets in turn.
+    """
 
     def of(batches):
         enc = encoder(path)
         end = np.array([enc.tokenizer.get_vocab_size()], np.int32)
         begin = np.array([-1], np.int32)
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in by_bytes(batch, "text"):
-                texts = [t.as_py() or "" for i, t in zip(part.column(0).to_pylist(), part.column(1)) if _trains(i)]
-                out = [np.concatenate((begin, np.frombuffer(ids, "<i4"), end)).tobytes() for ids in enc.encode(texts)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+            for part in by_bytes(batch, "text", block_bytes):
+                doc_ids = part.column(0).to_pylist()
+                trains = [_trains(i) for i in doc_ids]
+                ids = [np.concatenate((begin, np.frombuffer(x, "<i4"), end)).tobytes() for x in enc.encode([t or "" for t in part.column(1).to_pylist()])]
+                words, asked = _block_words(part.column(1), trains, n_buckets)
+                given = {"block": [block] * len(ids), "doc_id": doc_ids, "trains": trains, "words": words, "ids": ids}
+                yield _batch(given, len(ids))
+                yield _batch({"block": [block] * len(asked["keys"]), **asked}, len(asked["keys"]))
+                block += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(of, "ids binary")
+    return rows.mapInArrow(of, "block long, doc_id long, trains boolean, words binary, ids binary, bucket int, keys binary, counts binary")
+
+
+def _batch(given: dict[str, list], n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in _ROWS], schema=_ROWS)
+
+
+def _ids_to_learn(rows: DataFrame) -> DataFrame:
+    return rows.where("trains").select("ids")
+
+
+def _training_ids(docs: DataFrame, path: str) -> DataFrame:
+    """(ids): of each training text, -1 before its first id, all its ids and its end."""
+    return _ids_to_learn(_prepared(docs, path, 1))
 
 
 def _read_ids(batches):
@@ -305,8 +350,23 @@ def _read_ids(batches):
         yield found
 
 
-def _counted(ids: DataFrame, keys_of, size: int) -> np.ndarray:
-    """How often each number below `size` comes up over all texts; keys_of: numbers of a list of id arrays."""
+def _steps(spark):
+    """What loads AttentionSteps.java, if it was made for the sizes here and for this machine's vectors."""
+    return jvm.steps(spark, f"{DIMENSION} {WINDOW} {OVERLAP} {GROUPS} {MEMBERS} {_BATCH} {_IDS} true")
+
+
+def _body(numbers: np.ndarray, kind: str) -> bytearray:
+    return bytearray(np.ascontiguousarray(numbers, kind).tobytes())
+
+
+def _counted(ids: DataFrame, size: int, classes=None) -> np.ndarray:
+    """How often each id, below `size`, comes up over all texts; with classes (broadcast), each pair of classes."""
+
+    def keys_of(found):
+        if classes is None:
+            return (x := np.concatenate(found))[x >= 0]
+        found = [_classed(x, classes.value) for x in found]
+        return np.concatenate([c[:-1] * np.int64(CLASSES) + c[1:] for c in found])
 
     def of(batches):
         total = np.zeros(size, np.int64)
@@ -315,7 +375,12 @@ def _counted(ids: DataFrame, keys_of, size: int) -> np.ndarray:
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(total[k])], ["k", "n"])
 
-    table = ids.mapInArrow(of, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    if loader := _steps(ids.sparkSession):
+        body = _body(np.zeros(0) if classes is None else classes.value, "<i4")
+        counted = jvm.mapped(ids, loader, "Count", "k long, n long", size, body)
+    else:
+        counted = ids.mapInArrow(of, "k long, n long")
+    table = counted.groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size)
     out[table["k"].to_numpy()] = table["n"].to_numpy()
     return out
@@ -344,6 +409,13 @@ def _cut(classes: list[np.ndarray]):
 
 def _fitted(ids: DataFrame, classes, start, r: int) -> DataFrame:
     """(k, value, weight): weights after a round, as each task has them, and its windows; classes, start: broadcast."""
+    schema, rate = "k int, value double, weight double", 0.01 / (1 + r)
+    if loader := _steps(ids.sparkSession):
+        m, bits = start.value, np.random.PCG64(r).state["state"]
+        # Four longs with a sign: the upper and the lower half of both.
+        bits = np.frombuffer(b"".join(bits[k].to_bytes(16, "big") for k in ("state", "inc")), ">i8").tolist()
+        weights = (_body(x, "<f4") for x in (m.flat(), m.follow_group, m.follow_member))
+        return jvm.mapped(ids, loader, "Fit", schema, _body(classes.value, "<i4"), *weights, *bits, rate)
 
     def fit(batches):
         # A worker keeps the broadcast model for its next task, which starts from the same weights.
@@ -351,28 +423,25 @@ def _fitted(ids: DataFrame, classes, start, r: int) -> DataFrame:
         n = 0
         for found in _read_ids(batches):
             for windows in _cut([_classed(x, classes.value) for x in found]):
-                mine.train(*_in_windows(windows), rate=0.01 / (1 + r), seed=r)
+                mine.train(*_in_windows(windows), rate=rate, seed=r)
                 n += len(windows)
         if n:
             flat = mine.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), float(n)))], ["k", "value", "weight"])
 
-    return ids.mapInArrow(fit, "k int, value double, weight double")
+    return ids.mapInArrow(fit, schema)
 
 
 def train(docs: DataFrame, tokenizer: str = WORD_BPE, rounds: int = ROUNDS) -> tuple[Vocabulary, AttentionModel]:
     path = tokenizer_path(tokenizer)
-    sc = docs.sparkSession.sparkContext
-    ids = pin(_training_ids(docs, path), "ids")
-    end = encoder(path).tokenizer.get_vocab_size()
-    vocabulary = Vocabulary.of(_counted(ids, lambda found: (x := np.concatenate(found))[x >= 0], end + 1))
-    shared = sc.broadcast(vocabulary.classes)
+    return _trained(pin(_training_ids(docs, path), "ids"), path, rounds)
 
-    def pairs(found):
-        found = [_classed(x, shared.value) for x in found]
-        return np.concatenate([c[:-1] * np.int64(CLASSES) + c[1:] for c in found])
 
-    counts = _counted(ids, pairs, (CLASSES + 1) * CLASSES).reshape(CLASSES + 1, CLASSES)
+def _trained(ids: DataFrame, path: str, rounds: int) -> tuple[Vocabulary, AttentionModel]:
+    sc = ids.sparkSession.sparkContext
+    vocabulary = Vocabulary.of(_counted(ids, encoder(path).tokenizer.get_vocab_size() + 1))
+    shared = sc.broadcast(vocabulary.classes)
+    counts = _counted(ids, (CLASSES + 1) * CLASSES, shared).reshape(CLASSES + 1, CLASSES)
     model = AttentionModel(counts)
     mean = (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")
     for r in range(rounds):
@@ -385,10 +454,12 @@ def train(docs: DataFrame, tokenizer: str = WORD_BPE, rounds: int = ROUNDS) -> t
 def score_texts(texts: list[str], enc, vocabulary: Vocabulary, model: AttentionModel) -> np.ndarray:
     """log10 probability of each text: its ids and its end."""
     end = len(vocabulary.classes) - 1
-    bodies = enc.encode(texts)
-    out = np.zeros(len(texts))
+    return _score_ids([np.append(np.frombuffer(b, "<u4").astype(np.int64), end) for b in enc.encode(texts)], vocabulary, model)
+
+
+def _score_ids(ids: list[np.ndarray], vocabulary: Vocabulary, model: AttentionModel) -> np.ndarray:
+    out = np.zeros(len(ids))
     step = WINDOW - OVERLAP
-    ids = [np.append(np.frombuffer(b, "<u4").astype(np.int64), end) for b in bodies]
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
     for i, x in enumerate(ids):
         out[i] = vocabulary.share[x].sum(dtype=np.float64)
@@ -409,17 +480,46 @@ def score_texts(texts: list[str], enc, vocabulary: Vocabulary, model: AttentionM
     return out
 
 
+def _scored(rows: DataFrame, vocabulary: Vocabulary, model: AttentionModel) -> DataFrame:
+    """(block, doc_id, words, score) of rows with the ids of a text."""
+    schema = "block long, doc_id long, words binary, score double"
+    rows = rows.select("block", "doc_id", "words", "ids")
+    if loader := _steps(rows.sparkSession):
+        t = model._tables()
+        tables = [_body(t[k], "<f4") for k in ("qkv", "qkv_place", "group", "group_place", "group_rest", "member", "member_place", "member_rest")]
+        return jvm.mapped(rows, loader, "Score", schema, _body(vocabulary.classes, "<i4"), _body(vocabulary.share, "<f4"), tables)
+    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, model))
+
+    def of(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 128):
+                part = batch.slice(a, 128)
+                scores = _score_ids([np.frombuffer(x.as_buffer(), np.int32)[1:] for x in part.column(3)], *shared.value)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(scores)], ["block", "doc_id", "words", "score"])
+
+    return rows.mapInArrow(of, schema)
+
+
 # Word counts of the base.
 
 
-def _block_words(table: pa.Table):
-    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    words = split(table["text"], BLANK, lower=True)
+def _block_words(texts: pa.Array, trains: list[bool], n_buckets: int) -> tuple[list[bytes], dict[str, list]]:
+    """Of each text of a block, the places of its words among the block's keys; and what the block asks the buckets."""
+    words = split(texts, BLANK, lower=True)
     # Each text's end is one more word of it.
     bounds = words.bounds + np.arange(len(words.bounds))
-    hashes = np.insert(words.hashes, words.bounds[1:], _END)
-    keys, back = np.unique(hashes, return_inverse=True)
-    return table, bounds, keys, back
+    keys, back = np.unique(np.insert(words.hashes, words.bounds[1:], _END), return_inverse=True)
+    counts = np.bincount(back, np.repeat(trains, np.diff(bounds)), len(keys)).astype(np.uint32)
+    bucket, order, cuts = _in_buckets(keys, n_buckets)
+    places = np.empty(len(keys), np.int32)
+    places[order] = np.arange(len(keys), dtype=np.int32)
+    places = places[back]
+    asked = {
+        "bucket": [int(bucket[order[c.start]]) for c in cuts],
+        "keys": [keys[order[c]].tobytes() for c in cuts],
+        "counts": [counts[order[c]].tobytes() for c in cuts],
+    }
+    return [places[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], asked
 
 
 def _in_buckets(keys: np.ndarray, n_buckets: int):
@@ -429,21 +529,6 @@ def _in_buckets(keys: np.ndarray, n_buckets: int):
     return bucket, order, [slice(a, b) for a, b in zip(starts, ends)]
 
 
-def _ask(table: pa.Table, n_buckets: int) -> pa.Table:
-    table, bounds, keys, back = _block_words(table)
-    on = np.repeat([_trains(i) for i in table["doc_id"].to_pylist()], np.diff(bounds))
-    counts = np.bincount(back, on, len(keys)).astype(np.int64)
-    bucket, order, cuts = _in_buckets(keys, n_buckets)
-    return pa.table(
-        {
-            "block": pa.array(np.full(len(cuts), table["block"][0].as_py(), np.int32)),
-            "bucket": pa.array(np.array([bucket[order[c.start]] for c in cuts], np.int32)),
-            "keys": pa.array([keys[order[c]].tobytes() for c in cuts], pa.binary()),
-            "counts": pa.array([counts[order[c]].astype(np.uint32).tobytes() for c in cuts], pa.binary()),
-        }
-    )
-
-
 def _tell(table: pa.Table) -> pa.Table:
     keys, of = parts(table["keys"].to_pylist(), np.uint64)
     counts, _ = parts(table["counts"].to_pylist(), np.uint32)
@@ -464,31 +549,19 @@ def _tell(table: pa.Table) -> pa.Table:
     )
 
 
-def _score(docs: pa.Table, told: pa.Table, n_buckets: int, tokens: int, known: int, model, path: str) -> pa.Table:
-    vocabulary, attention = model
-    docs, bounds, keys, back = _block_words(docs)
-    _, order, _ = _in_buckets(keys, n_buckets)
-    told = told.sort_by("bucket")
-    answers, _ = parts(told["counts"].to_pylist(), np.int64)
-    counts = np.zeros(len(keys), np.int64)
-    counts[order] = answers
-    of = np.repeat(np.arange(docs.num_rows), np.diff(bounds))
-    whole = tokens + 0.5 * (known + 1)
-    logs = np.log10((counts + 0.5) / whole)
-    texts = [t or "" for t in docs["text"].to_pylist()]
-    scores = np.zeros(len(texts))
-    enc = encoder(path)
-    for a in range(0, len(texts), 128):
-        scores[a : a + 128] = score_texts(texts[a : a + 128], enc, vocabulary, attention)
+def _with_base(docs: pa.Table, told: pa.Table, tokens: int, known: int) -> pa.Table:
+    counts, _ = parts(told.sort_by("bucket")["counts"].to_pylist(), np.int64)
+    logs = np.log10((counts + 0.5) / (tokens + 0.5 * (known + 1)))
+    words, of = parts(docs["words"].to_pylist(), np.int32)
     return pa.table(
         {
             "doc_id": docs["doc_id"],
             "held_out": pa.array([_held_out(i) for i in docs["doc_id"].to_pylist()], pa.bool_()),
-            "n_tokens": np.diff(bounds).astype(np.int64),
-            "n_known": np.bincount(of, counts[back] > 0, docs.num_rows).astype(np.int64),
+            "n_tokens": np.bincount(of, minlength=docs.num_rows).astype(np.int64),
+            "n_known": np.bincount(of, counts[words] > 0, docs.num_rows).astype(np.int64),
             "train_tokens": np.full(docs.num_rows, tokens, np.int64),
-            "base_score": np.bincount(of, logs[back], docs.num_rows),
-            "score": scores,
+            "base_score": np.bincount(of, logs[words], docs.num_rows),
+            "score": docs["score"],
         }
     )
 
@@ -503,13 +576,15 @@ def language_model_scores(docs: DataFrame, tokenizer: str = WORD_BPE, rounds: in
     learned from each. An empty table gives no rows.
     """
     path = tokenizer_path(tokenizer)
-    n = count_blocks(docs, block_bytes)
-    by_block = in_blocks(docs, n).groupBy("block")
-    asked = by_block.applyInArrow(lambda t: _ask(t, n), "block int, bucket int, keys binary, counts binary")
-    told = pin(asked.groupBy("bucket").applyInArrow(_tell, "block int, bucket int, counts binary, known long, tokens long"), "counts")
+    rows = pin(_prepared(docs, path, count_blocks(docs, block_bytes), block_bytes), "texts")
+    asked = rows.where("keys is not null").select("block", "bucket", "keys", "counts")
+    told = pin(asked.groupBy("bucket").applyInArrow(_tell, "block long, bucket int, counts binary, known long, tokens long"), "counts")
     size = told.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     tokens, known = int(size[0]), int(size[1])
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, tokenizer, rounds))
+    # A task trains on the texts that one task has read, however large the rows made of them are.
+    n_tasks = rows.select(F.shiftright("block", 32)).distinct().count()
+    model = _trained(_ids_to_learn(rows).coalesce(max(1, n_tasks)), path, rounds)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = _scored(rows.where("ids is not null"), *model).groupBy("block")
     answers = told.select("block", "bucket", "counts").groupBy("block")
-    return by_block.cogroup(answers).applyInArrow(lambda d, t: _score(d, t, n, tokens, known, model.value, path), schema)
+    return scored.cogroup(answers).applyInArrow(lambda d, t: _with_base(d, t, tokens, known), schema)
