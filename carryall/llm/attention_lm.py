@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from carryall.llm import jvm
 from carryall.llm.blocks import BLOCK_BYTES, count_blocks, parts, runs
-from carryall.llm.subwords import WORD_BPE, encoder, tokenizer_path
+from carryall.llm.subwords import WORD_BPE, encoder, forgotten, tokenizer_path
 from carryall.llm.words import BLANK, by_bytes, mix, split
 from carryall.sources.tables import pin
 
@@ -49,6 +49,8 @@ ROUNDS = 3
 _BATCH = 48
 # Ids that are counted, or cut into windows and trained on, at a time.
 _IDS = 1 << 20
+# Bytes of texts that the encoder does not cut at blanks.
+_UNCUT = np.arange(0x1C, 0x20, dtype=np.uint8)
 # The number that stands for a text's end among the words.
 _END = np.uint64(0x5851F42D4C957F2D)
 
@@ -304,15 +306,12 @@ def _prepared(docs: DataFrame, path: str, n_buckets: int, block_bytes: int = BLO
 
     def of(batches):
         enc = encoder(path)
-        end = np.array([enc.tokenizer.get_vocab_size()], np.int32)
-        begin = np.array([-1], np.int32)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in by_bytes(batch, "text", block_bytes):
                 doc_ids = part.column(0).to_pylist()
                 trains = [_trains(i) for i in doc_ids]
-                ids = [np.concatenate((begin, np.frombuffer(x, "<i4"), end)).tobytes() for x in enc.encode([t or "" for t in part.column(1).to_pylist()])]
-                words, asked = _block_words(part.column(1), trains, n_buckets)
+                ids, words, asked = _block_words(part.column(1), trains, n_buckets, enc)
                 given = {"block": [block] * len(ids), "doc_id": doc_ids, "trains": trains, "words": words, "ids": ids}
                 yield _batch(given, len(ids))
                 yield _batch({"block": [block] * len(asked["keys"]), **asked}, len(asked["keys"]))
@@ -503,8 +502,8 @@ def _scored(rows: DataFrame, vocabulary: Vocabulary, model: AttentionModel) -> D
 # Word counts of the base.
 
 
-def _block_words(texts: pa.Array, trains: list[bool], n_buckets: int) -> tuple[list[bytes], dict[str, list]]:
-    """Of each text of a block, the places of its words among the block's keys; and what the block asks the buckets."""
+def _block_words(texts: pa.Array, trains: list[bool], n_buckets: int, enc) -> tuple[list[bytes], list[bytes], dict[str, list]]:
+    """Of each text of a block, its ids between -1 and its end, and the places of its words among the block's keys; and what the block asks the buckets."""
     words = split(texts, BLANK, lower=True)
     # Each text's end is one more word of it.
     bounds = words.bounds + np.arange(len(words.bounds))
@@ -519,7 +518,36 @@ def _block_words(texts: pa.Array, trains: list[bool], n_buckets: int) -> tuple[l
         "keys": [keys[order[c]].tobytes() for c in cuts],
         "counts": [counts[order[c]].tobytes() for c in cuts],
     }
-    return [places[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], asked
+    end = np.array([enc.tokenizer.get_vocab_size(), -1], np.int32)
+    if enc.lowers and not np.isin(words.buffer, _UNCUT).any():
+        ids = _ids_by_word(words, bounds, len(keys), back, enc, end)
+    else:
+        ids = [np.concatenate((end[1:], np.frombuffer(x, "<i4"), end[:1])).tobytes() for x in enc.encode([t or "" for t in texts.to_pylist()])]
+    return ids, [places[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], asked
+
+
+def _ids_by_word(words, bounds: np.ndarray, n_keys: int, back: np.ndarray, enc, end: np.ndarray) -> list[bytes]:
+    """The ids of each text between -1 and its end, from those of the block's distinct words."""
+    is_end = np.zeros(len(back), bool)
+    is_end[bounds[1:] - 1] = True
+    at = np.full(n_keys, -1)
+    at[back[~is_end]] = np.arange(len(words.hashes))
+    known, body = np.flatnonzero(at >= 0), words.buffer.tobytes()
+    starts, ends = words.starts[at[known]].tolist(), words.ends[at[known]].tolist()
+    found = enc.words.of([body[a:b] for a, b in zip(starts, ends)])
+    # The ids of all words one after the other; a text's end is followed by what precedes the next text.
+    line = np.concatenate((np.frombuffer(b"".join(found), "<i4"), end))
+    sizes = np.full(n_keys, len(end))
+    sizes[known] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    begins = np.full(n_keys, len(line) - len(end))
+    begins[known] = np.cumsum(sizes[known]) - sizes[known]
+    size, begin = sizes[back], begins[back]
+    # In case that a word has the number of a text's end.
+    size[is_end], begin[is_end] = len(end), len(line) - len(end)
+    upto = np.cumsum(size)
+    out = np.concatenate((end[1:], line[np.arange(upto[-1] if len(upto) else 0) + np.repeat(begin - (upto - size), size)]))
+    cuts = np.concatenate(([0], upto))[bounds].tolist()
+    return [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 def _in_buckets(keys: np.ndarray, n_buckets: int):
@@ -530,6 +558,8 @@ def _in_buckets(keys: np.ndarray, n_buckets: int):
 
 
 def _tell(table: pa.Table) -> pa.Table:
+    # All texts are encoded, and training wants the memory.
+    forgotten()
     keys, of = parts(table["keys"].to_pylist(), np.uint64)
     counts, _ = parts(table["counts"].to_pylist(), np.uint32)
     distinct, back = np.unique(keys, return_inverse=True)

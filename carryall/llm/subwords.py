@@ -20,6 +20,9 @@ WORD_BPE = "word_bpe_49k.json"
 # Pieces of a generation. A worker remembers the one it fills and the one before.
 _REMEMBERED = 600_000
 
+# Words of more bytes are encoded whenever they come up.
+_LONG = 256
+
 # Blanks other than space and line feed; texts with these, with runs of blanks or with blanks
 # around them are not cut for byte-level ids. Printable characters hold none of them.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
@@ -90,6 +93,7 @@ class Encoder:
         self.space = chr(self.letters[0x20])
         self.model = self.tokenizer.model
         self.each = [_packed([k]) for k in range(1 + max(self.tokenizer.get_vocab().values()))]
+        self.words = Words(self)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -155,6 +159,41 @@ class Encoder:
         return out
 
 
+class Words(dict):
+    """Ids of words, as bytes: what ASCII blanks divide, with A-Z lower-cased. For encoders that lower-case.
+
+    A word is encoded as a text of its own as it is looked up first. It and the encoder's
+    pieces hold `remembered` (none: _REMEMBERED) together, and those before.
+    """
+
+    def __init__(self, enc: Encoder) -> None:
+        self.enc = enc
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None and word.isalpha():
+            # ASCII letters: one piece.
+            ids = self.enc._word(word.decode(), True)
+        elif ids is None:
+            text = word.decode()
+            pieces = self.enc._cut(text)
+            if pieces is None:
+                ids = self.enc.encode([text])[0]
+            else:
+                ids = self.enc._learned(pieces[0]) if len(pieces) == 1 else b"".join([self[p.encode()] for p in pieces])
+        if len(word) <= _LONG:
+            self[word] = ids
+        return ids
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        if len(self) + len(self.enc.known) > (_REMEMBERED if self.enc.remembered is None else self.enc.remembered):
+            older = dict(self)
+            self.clear()
+            self.older = older
+        return list(map(self.__getitem__, words))
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -178,3 +217,9 @@ def forget() -> None:
     """Drops what this worker remembers, as it goes on to another operator's tasks."""
     _ENCODERS.clear()
     released()
+
+
+def forgotten() -> None:
+    """The same, in tasks that may find it done."""
+    if _ENCODERS:
+        forget()
