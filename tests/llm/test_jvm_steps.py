@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from carryall.llm import attention_lm as lm
-from carryall.llm import jvm
+from carryall.llm import jvm, subwords
 
 
 @pytest.fixture(scope="module")
@@ -68,28 +69,32 @@ def test_scores_are_those_of_numpy(spark, texts, monkeypatch):
         assert np.isfinite(got).all() and np.allclose(got[fine], want[fine], rtol=2e-5) and (fine.all() or scale > 1)
 
 
-def test_each_text_is_encoded_once(spark, texts, tmp_path, monkeypatch):
-    """Training and scoring read the same written ids."""
-    encode = lm.encoder
+def test_each_text_is_read_once(spark, texts, tmp_path, monkeypatch):
+    """Counting, training and scoring start from the same written ids."""
+    plain = lm._block_words
 
-    def counting(path):
-        enc = encode(path)
-        if not hasattr(enc, "plain"):
-            enc.plain = enc.encode
+    def counted(column, *rest):
+        with (tmp_path / "said").open("a") as f:
+            f.write("x" * len(column))
+        return plain(column, *rest)
 
-        def counted(many):
-            with (tmp_path / "said").open("a") as f:
-                f.write("x" * len(many))
-            return enc.plain(many)
-
-        enc.encode = counted
-        return enc
-
-    monkeypatch.setattr(lm, "encoder", counting)
+    monkeypatch.setattr(lm, "_block_words", counted)
     assert lm.language_model_scores(texts, rounds=1).count() == 306
     assert len((tmp_path / "said").read_text()) == 306
 
 
+@pytest.mark.parametrize("remembered", [None, 2])
+@pytest.mark.parametrize("name", [lm.WORD_BPE, "byte_bpe_50k.json"])
+def test_ids_by_word_are_those_of_whole_texts(name, remembered):
+    enc = subwords.Encoder(lm.tokenizer_path(name), remembered)
+    odd = ["The \u00dcn\u00efcode x \u03a3\u0391\u03a3 stra\u00dfe, \u00c9T\u00c9... don't 3.5% (a)  b\u3000c \x0bq\x85z \u0130st \u65e5\u672c\u8a9e \u212a A\u0301 x,y. Z!"]
+    for many in ([], [None], ["", None, " \t\n ", "a"], odd * 3, ["x\x1cy Z", "a b"], ["w" * 1000 + " q", None, "A a ,. .a"], ["the end. The", "END the, the."]):
+        got = lm._block_words(pa.array(many, pa.string()), [True] * len(many), 3, enc)[0]
+        end = enc.tokenizer.get_vocab_size()
+        want = [np.array([-1, *np.frombuffer(x, "<i4"), end], np.int32).tobytes() for x in enc._whole([t or "" for t in many])]
+        assert got == want
+
+
 def test_training_scales_down_to_no_texts(spark):
     none = spark.createDataFrame([(1, "x")], "doc_id long, text string").limit(0)
     vocabulary, model = lm.train(none, rounds=1)
