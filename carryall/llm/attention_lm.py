@@ -611,9 +611,7 @@ def language_model_scores(docs: DataFrame, tokenizer: str = WORD_BPE, rounds: in
     told = pin(asked.groupBy("bucket").applyInArrow(_tell, "block long, bucket int, counts binary, known long, tokens long"), "counts")
     size = told.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     tokens, known = int(size[0]), int(size[1])
-    # A task trains on the texts that one task has read, however large the rows made of them are.
-    n_tasks = rows.select(F.shiftright("block", 32)).distinct().count()
-    model = _trained(_ids_to_learn(rows).coalesce(max(1, n_tasks)), path, rounds)
+    model = _trained(_ids_to_learn(rows), path, rounds)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scored = _scored(rows.where("ids is not null"), *model).groupBy("block")
     answers = told.select("block", "bucket", "counts").groupBy("block")
